@@ -26,6 +26,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _any_null(keys):
+    cond = F.col(keys[0]).isNull()
+    for k in keys[1:]:
+        cond = cond | F.col(k).isNull()
+    return cond
+
+
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, unique: bool = True,
                 checkpoint: bool = True) -> DataFrame:
@@ -37,7 +44,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how
     small = materialize(lookup) if checkpoint else lookup
     stats = small.agg(F.count(F.lit(1)).alias("n"),
                       F.count_distinct(*[F.col(k) for k in keys]).alias("k"),
-                      F.count_if(F.greatest(*[F.col(k).isNull() for k in keys])).alias("nk")).first()
+                      F.count_if(_any_null(keys)).alias("nk")).first()
     n, k, nk = stats["n"], stats["k"], stats["nk"]
     if unique and n - nk != k:
         raise ValueError(f"lookup keys {keys} are not unique ({n} rows, {k} distinct keys)")

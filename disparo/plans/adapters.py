@@ -144,13 +144,12 @@ def render_payloads(ref: DataFrame, base: str, datasets, measure_names, name_suf
     ``skip`` maps a dataset to a Column predicate of places left out of that dataset.
     A payload covers one year's places, so each group is bounded by the place count.
     """
-    inv = {v: k for k, v in measure_names.items()}
     name = F.concat(F.upper(F.col("county_name_norm")), F.lit(name_suffix))
     frames = []
     for ds, codes in datasets:
         part = ref if not skip or ds not in skip else ref.where(~skip[ds])
         header = F.array(*[F.lit(x) for x in ("NAME", *codes, "state", "county")])
-        row = F.array(name, *[F.col(inv[c]).cast("string") for c in codes],
+        row = F.array(name, *[F.col(measure_names[c]).cast("string") for c in codes],
                       F.col("state"), F.col("county_fips3"))
         frames.append(part.groupBy(F.col("acs_year").alias("year"))
                           .agg(F.to_json(F.concat(F.array(header),
