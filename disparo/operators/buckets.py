@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from disparo.config import EventConfig
-from disparo.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
-from disparo.operators.quantiles import assign_quartile, quantile_breaks
+from disparo.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup_join, materialize
+from disparo.operators.quantiles import assign_quartile, exact_quantiles, quantile_breaks
 
 log = logging.getLogger(__name__)
 
@@ -49,24 +49,80 @@ def add_demographic_buckets(df: DataFrame, cfg: EventConfig = EventConfig(),
     """Income quartile and place-share quartile for every row (C2).
 
     Breaks are row-weighted.  A missing or all-NULL column skips its bucket with a warning.
-    ``relative_error=None`` gives exact discrete quartiles.
+    ``relative_error=None`` gives exact discrete quartiles from one pass over the rows
+    (``_exact_buckets``); otherwise the reference's sketch (``approxQuantile``) is used.
     """
+    has_income = income_col in df.columns
+    has_share = cfg.county_key in df.columns and cfg.group_column in df.columns
+    if not has_income:
+        log.warning("%s missing; skipping income_quartile", income_col)
+    if not has_share:
+        log.warning("place key or group column missing; skipping share buckets")
+    if relative_error is None:
+        return _exact_buckets(df, cfg, income_col if has_income else None, has_share, max_broadcast_rows)
     income_breaks = share_breaks = None
-    if income_col in df.columns:
+    if has_income:
         income_breaks = quantile_breaks(df, income_col, relative_error=relative_error)
         if income_breaks is not None:
             df = assign_quartile(df, income_col, "income_quartile", income_breaks, cfg.strict)
         else:
             log.warning("%s is all NULL; skipping income_quartile", income_col)
-    else:
-        log.warning("%s missing; skipping income_quartile", income_col)
-    if cfg.county_key in df.columns and cfg.group_column in df.columns:
+    if has_share:
         df = add_group_share(df, cfg, max_broadcast_rows)
         share_breaks = quantile_breaks(df, "minority_share_stop", relative_error=relative_error)
         if share_breaks is not None:
             df = assign_quartile(df, "minority_share_stop", "minority_share_bucket", share_breaks, cfg.strict)
         else:
             log.warning("minority_share_stop is all NULL; skipping minority_share_bucket")
-    else:
-        log.warning("place key or group column missing; skipping share buckets")
     return BucketResult(df, income_breaks, share_breaks)
+
+
+def _exact_buckets(df: DataFrame, cfg: EventConfig, income_col: str | None, has_share: bool,
+                   max_broadcast_rows: int) -> BucketResult:
+    """Exact buckets from a single scan of the rows.
+
+    One partial-aggregated pass builds a summary per (place, income value): row count,
+    sum and count of the non-baseline flag.  Its size is bounded by the distinct
+    (place, income) pairs, not by the rows.  The place shares, the income distribution and
+    the row-weighted share distribution all follow from that summary; the row-level pass
+    then only joins the share table (checked broadcast) and compares with the breaks.
+    """
+    place = cfg.county_key if has_share else None
+    keys = [c for c in (place, income_col) if c]
+    if not keys:
+        return BucketResult(df, None, None)
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    if has_share:
+        flag = minority_flag(cfg.group_column, cfg.baseline_group)
+        aggs += [F.sum(flag).alias("__flag_sum"), F.count(flag).alias("__flag_n")]
+    summary = materialize(df.groupBy(*keys).agg(*aggs))
+    income_breaks = share_breaks = None
+    if income_col:
+        income_breaks = _breaks(summary, income_col, "__rows")
+        if income_breaks is not None:
+            df = assign_quartile(df, income_col, "income_quartile", income_breaks, cfg.strict)
+        else:
+            log.warning("%s is all NULL; skipping income_quartile", income_col)
+    if has_share:
+        share = (summary.groupBy(place)
+                        .agg((F.sum("__flag_sum") / F.sum("__flag_n")).alias("minority_share_stop"),
+                             F.sum("__rows").alias("n_stops_county")))
+        share = materialize(share)
+        # Rows with a NULL place never match the share table, so they carry no share.
+        weighted = (summary.where(F.col(place).isNotNull())
+                           .groupBy(place).agg(F.sum("__rows").alias("__rows"))
+                           .join(share, place))
+        share_breaks = _breaks(weighted, "minority_share_stop", "__rows")
+        df = lookup_join(df, share, place, "left", max_broadcast_rows, checkpoint=False)
+        if share_breaks is not None:
+            df = assign_quartile(df, "minority_share_stop", "minority_share_bucket", share_breaks, cfg.strict)
+        else:
+            log.warning("minority_share_stop is all NULL; skipping minority_share_bucket")
+    return BucketResult(df, income_breaks, share_breaks)
+
+
+def _breaks(df: DataFrame, value_col: str, weight_col: str):
+    row = exact_quantiles(df, value_col, weight_col=weight_col).first()
+    if row is None or row[0] is None:
+        return None
+    return [float(v) for v in row]
