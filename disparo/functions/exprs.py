@@ -67,6 +67,13 @@ def age_in_range(c, lo: int, hi: int, strict: bool = False) -> Column:
     return F.when((probe < F.lit(lo)) | (probe > F.lit(hi)), F.lit(None).cast("double")).otherwise(as_double)
 
 
+def range_null_out(value, probe, lo: int, hi: int) -> Column:
+    """``value`` as double unless ``probe`` lies outside [lo, hi] (then NULL)."""
+    p = _col(probe)
+    return F.when((p < F.lit(lo)) | (p > F.lit(hi)), F.lit(None).cast("double")).otherwise(
+        _col(value).try_cast("double"))
+
+
 def county_key(c, suffix_pattern: str = r"\s*County$", strict: bool = False) -> Column:
     """Join key from a place name.
 

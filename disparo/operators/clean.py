@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from disparo.config import EventConfig
-from disparo.functions.exprs import age_in_range, county_key, null_if_token, yes_no_flag
+from pyspark.sql import functions as F
+
+from disparo.functions.exprs import county_key, null_if_token, parity_int, range_null_out, yes_no_flag
 
 
 def present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -55,7 +57,10 @@ def clip_age(df: DataFrame, cfg: EventConfig = EventConfig()) -> DataFrame:
     if c not in df.columns:
         return df
     lo, hi = cfg.age_range
-    return df.withColumn(c, age_in_range(c, lo, hi, cfg.strict))
+    # The integer reading is computed once and compared twice.
+    probe = "__age_probe"
+    df = df.withColumn(probe, F.col(c).try_cast("double") if cfg.strict else parity_int(c))
+    return df.withColumn(c, range_null_out(c, probe, lo, hi)).drop(probe)
 
 
 def normalize_county(df: DataFrame, cfg: EventConfig = EventConfig()) -> DataFrame:

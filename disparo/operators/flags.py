@@ -11,9 +11,11 @@ from disparo.functions.exprs import county_key, not_null_flag
 
 def outcome_priority(arrest="arrest_made", citation="citation_issued", warning="warning_issued"):
     """First match of arrest > citation > warning, else ``other``."""
-    return (F.when(F.col(arrest) == 1, F.lit("arrest"))
-             .when(F.col(citation) == 1, F.lit("citation"))
-             .when(F.col(warning) == 1, F.lit("warning"))
+    def on(c):
+        return F.col(c).try_cast("int") == 1
+    return (F.when(on(arrest), F.lit("arrest"))
+             .when(on(citation), F.lit("citation"))
+             .when(on(warning), F.lit("warning"))
              .otherwise(F.lit("other")))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from disparo.session import ensure_checkpoint_dir
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -30,12 +30,13 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    num_slices: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over rows of the same group whose ``order_col`` sorts
     at or before this row's.  ``order_col`` must be unique within a group."""
-    spark = df.sparkSession
     group_cols = list(group_cols)
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(order_col).asc_nulls_last() if ascending else F.col(order_col).desc_nulls_last()
-    sliced = (df.repartitionByRange(n, *[F.col(g) for g in group_cols], key)
-                .withColumn(_PID, F.spark_partition_id()))
+    range_cols = [*[F.col(g) for g in group_cols], key]
+    # Without an explicit count AQE may merge adjacent slices; merged slices stay in range
+    # order, so the partition id still orders them.
+    ranged = df.repartitionByRange(num_slices, *range_cols) if num_slices else df.repartitionByRange(*range_cols)
+    sliced = ranged.withColumn(_PID, F.spark_partition_id())
     local_w = (Window.partitionBy(_PID, *group_cols).orderBy(key)
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.withColumns({f"{prefix}{c}": F.sum(c).over(local_w) for c in sum_cols})

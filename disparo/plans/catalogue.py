@@ -314,6 +314,22 @@ def q_metrics_json(spark, d):
     return read_json_metrics(spark, path, fair.schema).select(*fair.columns)
 
 
+def q_stream_enrich(spark, d):
+    """C1 as a stream: raw CSV files land in two batches, an available-now stream enriches
+    them into the partitioned table, and the frequency is attached on read."""
+    from disparo.streaming import read_enriched, start_enrich_stream
+    raw = adapters.raw_events(spark, d)
+    land = scratch_path(spark, "landing")
+    halves = raw.randomSplit([0.5, 0.5], 1)
+    for i, part in enumerate(halves):
+        write_raw_csv(part, f"{land}/batch={i}")
+    out, ckpt = scratch_path(spark, "streamed"), scratch_path(spark, "stream-ckpt")
+    q = start_enrich_stream(spark, f"{land}/*", adapters.RAW_COLUMNS, out, ckpt,
+                            ref=adapters.reference_dimension(spark, d), cfg=CFG_A, max_files_per_trigger=4)
+    q.awaitTermination()
+    return _enriched_out(read_enriched(spark, out, CFG_A).withColumn("event_id", F.col("event_id").cast("bigint")))
+
+
 # ------------------------------------------------------------------ rows-only (random / models)
 
 def _cohort_a(spark, d):
@@ -422,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "enriched_roundtrip": q_enriched_roundtrip,
     "read_or_build": q_read_or_build,
     "metrics_json": q_metrics_json,
+    "stream_enrich": q_stream_enrich,
     "sample": q_sample,
     "random_split": q_random_split,
     "train_lr": q_train_lr,

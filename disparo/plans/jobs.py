@@ -31,20 +31,33 @@ log = logging.getLogger(__name__)
 
 # ---------------------------------------------------------------- C1 enrichment
 
-def enrich(raw: DataFrame, ref: DataFrame | None = None, cfg: EventConfig = EventConfig()) -> DataFrame:
-    """Raw text records -> enriched table (lazy): names, null tokens, yes/no flags, age
-    range, time features, flags and place key, department frequency, reference join."""
+def enrich_rows(raw: DataFrame, cfg: EventConfig = EventConfig()) -> DataFrame:
+    """The row-local part of enrichment: names, null tokens, yes/no flags, age range,
+    time features, flags and place key.  Works on batch and streaming frames alike."""
     df = clean_column_names(raw)
     df = standardize_strings(df, cfg=cfg)
     df = normalize_booleans(df, cfg=cfg)
     df = clip_age(df, cfg)
     df = make_time_features(df, cfg)
-    df = add_labels_flags(df, cfg)
-    if cfg.department_column in df.columns:
-        df = frequency_encode(df, cfg.department_column, "dept_freq")
-    if ref is not None and cfg.county_key in df.columns:
-        df = attach_reference(df, ref, cfg)
-    return df
+    return add_labels_flags(df, cfg)
+
+
+def add_frequency(df: DataFrame, cfg: EventConfig = EventConfig()) -> DataFrame:
+    if cfg.department_column not in df.columns:
+        return df
+    return frequency_encode(df, cfg.department_column, "dept_freq")
+
+
+def add_reference(df: DataFrame, ref: DataFrame | None, cfg: EventConfig = EventConfig()) -> DataFrame:
+    if ref is None or cfg.county_key not in df.columns:
+        return df
+    return attach_reference(df, ref, cfg)
+
+
+def enrich(raw: DataFrame, ref: DataFrame | None = None, cfg: EventConfig = EventConfig()) -> DataFrame:
+    """Raw text records -> enriched table (C1, lazy): row-local cleaning and features,
+    department frequency over all rows, then the reference join."""
+    return add_reference(add_frequency(enrich_rows(raw, cfg), cfg), ref, cfg)
 
 
 def build_enriched(spark: SparkSession, path: str, build_raw, build_ref=None,

@@ -345,6 +345,7 @@ ORACLE: dict[str, str] = {
     "enrich_full": w(ENRICH) + ENRICH_SELECT,
     "enriched_roundtrip": w(ENRICH) + ENRICH_SELECT,
     "read_or_build": w(ENRICH) + ENRICH_SELECT,
+    "stream_enrich": w(ENRICH) + ENRICH_SELECT,
 
     "metrics_json": w(B) + f"""SELECT grp, TP, P, FP, N, Pos, {RATES}
         FROM (SELECT grp, {FAIR_COLS} FROM b GROUP BY grp)""",

@@ -1 +1,3 @@
 """Incremental enrichment of landed raw files (see ``enrich_stream``)."""
+
+from disparo.streaming.enrich_stream import read_enriched, start_enrich_stream  # noqa: F401
