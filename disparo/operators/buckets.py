@@ -83,46 +83,71 @@ def _exact_buckets(df: DataFrame, cfg: EventConfig, income_col: str | None, has_
 
     One partial-aggregated pass builds a summary per (place, income value): row count,
     sum and count of the non-baseline flag.  Its size is bounded by the distinct
-    (place, income) pairs, not by the rows.  The place shares, the income distribution and
+    (place, income) pairs, not by the rows, and once materialised its row count proves
+    the size of everything derived from it.  The place shares, the income distribution and
     the row-weighted share distribution all follow from that summary; the row-level pass
-    then only joins the share table (checked broadcast) and compares with the breaks.
+    then only joins the share table (broadcast under the proven bound) and compares with
+    the literal breaks.
     """
     place = cfg.county_key if has_share else None
     keys = [c for c in (place, income_col) if c]
     if not keys:
         return BucketResult(df, None, None)
+    parts = summary_breaks(df, cfg, income_col, has_share)
+    income_breaks = _first(parts.income_breaks)
+    share_breaks = _first(parts.share_breaks)
+    if income_col:
+        if income_breaks is not None:
+            df = assign_quartile(df, income_col, "income_quartile", income_breaks, cfg.strict)
+        else:
+            log.warning("%s is all NULL; skipping income_quartile", income_col)
+    if has_share:
+        df = lookup_join(df, parts.share, place, "left", max_broadcast_rows, known_max_rows=parts.rows)
+        if share_breaks is not None:
+            df = assign_quartile(df, "minority_share_stop", "minority_share_bucket", share_breaks, cfg.strict)
+        else:
+            log.warning("minority_share_stop is all NULL; skipping minority_share_bucket")
+    return BucketResult(df, income_breaks, share_breaks)
+
+
+@dataclass
+class SummaryParts:
+    rows: int                          # rows of the materialised summary (a proven bound)
+    share: DataFrame | None            # place, minority_share_stop, n_stops_county
+    income_breaks: DataFrame | None    # one row: q1, q2, q3
+    share_breaks: DataFrame | None     # one row: q1, q2, q3
+
+
+def summary_breaks(df: DataFrame, cfg: EventConfig, income_col: str | None,
+                   has_share: bool = True) -> SummaryParts:
+    """The one-pass summary and the exact, row-weighted breaks derived from it (lazy)."""
+    place = cfg.county_key if has_share else None
+    keys = [c for c in (place, income_col) if c]
     aggs = [F.count(F.lit(1)).alias("__rows")]
     if has_share:
         flag = minority_flag(cfg.group_column, cfg.baseline_group)
         aggs += [F.sum(flag).alias("__flag_sum"), F.count(flag).alias("__flag_n")]
     summary = materialize(df.groupBy(*keys).agg(*aggs))
-    income_breaks = share_breaks = None
+    n = summary.count()
+    income = share = share_q = None
     if income_col:
-        income_breaks = _breaks(summary, income_col, "__rows")
-        if income_breaks is not None:
-            df = assign_quartile(df, income_col, "income_quartile", income_breaks, cfg.strict)
-        else:
-            log.warning("%s is all NULL; skipping income_quartile", income_col)
+        income = exact_quantiles(summary, income_col, weight_col="__rows", bounded_rows=n)
     if has_share:
         share = (summary.groupBy(place)
                         .agg((F.sum("__flag_sum") / F.sum("__flag_n")).alias("minority_share_stop"),
                              F.sum("__rows").alias("n_stops_county")))
-        share = materialize(share)
         # Rows with a NULL place never match the share table, so they carry no share.
         weighted = (summary.where(F.col(place).isNotNull())
                            .groupBy(place).agg(F.sum("__rows").alias("__rows"))
                            .join(share, place))
-        share_breaks = _breaks(weighted, "minority_share_stop", "__rows")
-        df = lookup_join(df, share, place, "left", max_broadcast_rows, checkpoint=False)
-        if share_breaks is not None:
-            df = assign_quartile(df, "minority_share_stop", "minority_share_bucket", share_breaks, cfg.strict)
-        else:
-            log.warning("minority_share_stop is all NULL; skipping minority_share_bucket")
-    return BucketResult(df, income_breaks, share_breaks)
+        share_q = exact_quantiles(weighted, "minority_share_stop", weight_col="__rows", bounded_rows=n)
+    return SummaryParts(n, share, income, share_q)
 
 
-def _breaks(df: DataFrame, value_col: str, weight_col: str):
-    row = exact_quantiles(df, value_col, weight_col=weight_col).first()
+def _first(breaks: DataFrame | None):
+    if breaks is None:
+        return None
+    row = breaks.first()
     if row is None or row[0] is None:
         return None
     return [float(v) for v in row]

@@ -35,12 +35,17 @@ def _any_null(keys):
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, unique: bool = True,
-                checkpoint: bool = True) -> DataFrame:
+                checkpoint: bool = True, known_max_rows: int | None = None) -> DataFrame:
     """``fact JOIN lookup USING (on)`` with a size-checked broadcast of ``lookup``.
 
     ``unique`` asserts one lookup row per key so a left join never multiplies fact rows.
+    ``known_max_rows`` is a caller-proven bound for a lookup built as a ``groupBy(on)``
+    of an already-counted table (keys unique by construction); it skips the checks.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if known_max_rows is not None:
+        side = F.broadcast(lookup) if known_max_rows <= max_broadcast_rows else lookup
+        return fact.join(side, on=keys, how=how)
     small = materialize(lookup) if checkpoint else lookup
     stats = small.agg(F.count(F.lit(1)).alias("n"),
                       F.count_distinct(*[F.col(k) for k in keys]).alias("k"),

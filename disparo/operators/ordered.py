@@ -23,15 +23,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _PID = "__slice"
+# A proven-small input (e.g. a materialised summary) is ranked in one window per group.
+SINGLE_PASS_MAX_ROWS = 1_000_000
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), ascending: bool = True,
-                   num_slices: int | None = None, prefix: str = "cum_") -> DataFrame:
+                   num_slices: int | None = None, prefix: str = "cum_",
+                   bounded_rows: int | None = None) -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over rows of the same group whose ``order_col`` sorts
-    at or before this row's.  ``order_col`` must be unique within a group."""
+    at or before this row's.  ``order_col`` must be unique within a group.
+
+    ``bounded_rows`` is a caller-proven upper bound on the input's row count; when it is
+    at most ``SINGLE_PASS_MAX_ROWS`` one window per group does the work (no slicing).
+    """
     group_cols = list(group_cols)
     key = F.col(order_col).asc_nulls_last() if ascending else F.col(order_col).desc_nulls_last()
+    if bounded_rows is not None and bounded_rows <= SINGLE_PASS_MAX_ROWS:
+        w = Window.partitionBy(*group_cols).orderBy(key).rowsBetween(Window.unboundedPreceding,
+                                                                     Window.currentRow)
+        return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
     range_cols = [*[F.col(g) for g in group_cols], key]
     # Without an explicit count AQE may merge adjacent slices; merged slices stay in range
     # order, so the partition id still orders them.

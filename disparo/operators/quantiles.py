@@ -22,11 +22,12 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float] = QUARTILES,
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    weight_col: str | None = None) -> DataFrame:
+                    weight_col: str | None = None, bounded_rows: int | None = None) -> DataFrame:
     """Discrete quantiles of ``value_col`` (NULLs ignored), one row per group.
 
     ``weight_col`` (a non-negative integer count) lets a pre-aggregated table stand for
-    its rows: a row with weight w counts as w copies of its value.
+    its rows: a row with weight w counts as w copies of its value.  ``bounded_rows`` is a
+    proven bound on the input's rows (see ``running_totals``).
     Output: group columns + one column per probability (``names`` or ``q1..qk``).
     The global case is one constant group, so every join below stays an equi-join.
     """
@@ -37,7 +38,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float] = QUAR
                  .groupBy(*keys, value_col)
                  .agg((F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)).cast("bigint").alias("__n"))
                  .where(F.col("__n") > 0))
-    ranked = running_totals(counts, value_col, ["__n"], keys)
+    ranked = running_totals(counts, value_col, ["__n"], keys, bounded_rows=bounded_rows)
     renamed = {g: f"__t{i}" for i, g in enumerate(keys)}
     totals = (counts.groupBy(*keys).agg(F.sum("__n").alias("__total"))
                     .select(*[F.col(g).alias(renamed[g]) for g in keys], "__total"))

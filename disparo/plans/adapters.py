@@ -24,8 +24,16 @@ BASELINE_B = "household"
 NAME_SUFFIX = " County, North Carolina"
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver table as a DataFrame; one per session and file, so repeated queries do
+    not list the file and read its footer again."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def _mod(c, m):

@@ -172,12 +172,12 @@ def _ses(spark, d):
 
 
 def q_quartile_breaks(spark, d):
-    b = add_group_share(_b_ref(spark, d), CFG_B)
-    inc = exact_quantiles(b.withColumn("__k", F.lit(1)), "median_income", group_cols=["__k"],
-                          names=["income_q1", "income_q2", "income_q3"])
-    shr = exact_quantiles(b.withColumn("__k", F.lit(1)), "minority_share_stop", group_cols=["__k"],
-                          names=["share_q1", "share_q2", "share_q3"])
-    return inc.join(shr, "__k").drop("__k")
+    from disparo.operators.buckets import summary_breaks
+    parts = summary_breaks(_b_ref(spark, d), CFG_B, "median_income")
+    inc = parts.income_breaks.select(*[F.col(f"q{i}").alias(f"income_q{i}") for i in (1, 2, 3)])
+    shr = parts.share_breaks.select(*[F.col(f"q{i}").alias(f"share_q{i}") for i in (1, 2, 3)])
+    # Both sides hold exactly one row.
+    return inc.withColumn("__k", F.lit(1)).join(shr.withColumn("__k", F.lit(1)), "__k").drop("__k")
 
 
 def q_income_quartile(spark, d):

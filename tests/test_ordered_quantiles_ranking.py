@@ -85,3 +85,15 @@ def test_ranking_metrics_one_class(spark):
     df = spark.createDataFrame([(0.1, 1), (0.2, 1)], "score double, label int")
     m = ranking_metrics(df, "score", "label").first()
     assert m["auroc"] is None and m["n_neg"] == 0
+
+
+def test_single_pass_equals_sliced(spark):
+    rnd = random.Random(5)
+    rows = [(g, float(rnd.randint(0, 300)), rnd.randint(0, 4)) for g in ("a", "b") for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, v double, w int")
+    a = {tuple(r) for r in exact_quantiles(df, "v", group_cols=["g"], weight_col="w").collect()}
+    b = {tuple(r) for r in exact_quantiles(df, "v", group_cols=["g"], weight_col="w", bounded_rows=1000).collect()}
+    assert a == b
+    for g in ("a", "b"):
+        vals = [v for k, v, w in rows if k == g for _ in range(w)]
+        assert (g, *[brute_disc(vals, p) for p in (0.25, 0.5, 0.75)]) in a
