@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from disparo.functions.exprs import quartile_label
+from disparo.operators.lookup import materialize
 from disparo.operators.ordered import running_totals
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -38,6 +39,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float] = QUAR
                  .groupBy(*keys, value_col)
                  .agg((F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)).cast("bigint").alias("__n"))
                  .where(F.col("__n") > 0))
+    if bounded_rows is None:
+        # One scan of the input: the distinct-value table is written once (also cutting
+        # its lineage) and its exact size picks the ranking path.
+        counts = materialize(counts)
+        bounded_rows = counts.count()
     ranked = running_totals(counts, value_col, ["__n"], keys, bounded_rows=bounded_rows)
     renamed = {g: f"__t{i}" for i, g in enumerate(keys)}
     totals = (counts.groupBy(*keys).agg(F.sum("__n").alias("__total"))

@@ -212,14 +212,10 @@ def q_fairness_grouping_sets(spark, d):
 
 
 def q_fairness_by_bucket(spark, d):
-    df = _ses(spark, d).df
-    inc = fairness_by_bucket(df, "label", "pred", "income_quartile", "grp")
-    shr = fairness_by_bucket(df, "label", "pred", "minority_share_bucket", "grp")
-    return (inc.select(F.lit("income").alias("bucketing"), F.col("income_quartile").alias("bucket"), "*")
-               .drop("income_quartile")
-               .unionByName(shr.select(F.lit("share").alias("bucketing"),
-                                       F.col("minority_share_bucket").alias("bucket"), "*")
-                               .drop("minority_share_bucket")))
+    from disparo.operators.fairness import COUNT_COLS, bucket_metrics
+    m = bucket_metrics(_ses(spark, d).df, "label", "pred", None,
+                       [("income", "income_quartile"), ("share", "minority_share_bucket")], "grp")
+    return m.select("bucketing", "bucket", "grp", *COUNT_COLS, "TPR", "FPR", "Rate")
 
 
 def q_rates_by_income_group(spark, d):

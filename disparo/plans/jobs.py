@@ -18,7 +18,7 @@ from disparo.operators.clean import (clean_column_names, clip_age, normalize_boo
                                      standardize_strings)
 from disparo.operators.encode import (apply_class_weights, bernoulli_sample, fit_class_weights,
                                       frequency_encode, hash_split)
-from disparo.operators.fairness import fairness_by_bucket, fairness_grouping_sets, rates_by_bucket
+from disparo.operators.fairness import bucket_metrics, fairness_grouping_sets
 from disparo.operators.flags import add_labels_flags
 from disparo.operators.model import fit_variant, score
 from disparo.operators.ranking import ranking_metrics
@@ -178,25 +178,26 @@ def audit(pred: DataFrame, label: str, score_col: str, pred_col: str,
     """C4: actual vs predicted rates and fairness by (bucket x group) for each bucketing,
     in one long table ``report, bucket, grp, metric, value``.
 
-    Buckets missing from the table are skipped; empty buckets simply have no rows.
+    All bucketings come from one grouping-sets pass over the scored rows.  Buckets missing
+    from the table are skipped; empty buckets simply have no rows.
     """
-    parts = []
+    present = []
     for tag, bcol in buckets:
-        if bcol not in pred.columns:
+        if bcol in pred.columns:
+            present.append((tag, bcol))
+        else:
             log.warning("%s missing; skipping %s audit", bcol, tag)
-            continue
-        r = rates_by_bucket(pred, label, score_col, bcol, group_col)
-        parts.append(_long(r, f"rates_by_{tag}", bcol, group_col, AUDIT_METRICS_RATES))
-        f = fairness_by_bucket(pred, label, pred_col, bcol, group_col)
-        parts.append(_long(f, f"fairness_by_{tag}", bcol, group_col, AUDIT_METRICS_FAIR))
-    return _union(parts)
+    m = bucket_metrics(pred, label, pred_col, score_col, present, group_col)
+    rates = _long(m, "rates_by_", AUDIT_METRICS_RATES)
+    fair = _long(m, "fairness_by_", AUDIT_METRICS_FAIR)
+    return rates.unionByName(fair)
 
 
-def _long(df: DataFrame, report: str, bucket: str, group: str, metrics: Sequence[str]) -> DataFrame:
+def _long(df: DataFrame, prefix: str, metrics: Sequence[str]) -> DataFrame:
     stacked = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
                                   for m in metrics]))
-    return df.select(F.lit(report).alias("report"), F.col(bucket).alias("bucket"),
-                     F.col(group).cast("string").alias("grp"), stacked.alias("mv")).select(
+    return df.select(F.concat(F.lit(prefix), F.col("bucketing")).alias("report"), "bucket",
+                     F.col("grp").cast("string").alias("grp"), stacked.alias("mv")).select(
         "report", "bucket", "grp", "mv.metric", "mv.value")
 
 
