@@ -188,17 +188,19 @@ def audit(pred: DataFrame, label: str, score_col: str, pred_col: str,
         else:
             log.warning("%s missing; skipping %s audit", bcol, tag)
     m = bucket_metrics(pred, label, pred_col, score_col, present, group_col)
-    rates = _long(m, "rates_by_", AUDIT_METRICS_RATES)
-    fair = _long(m, "fairness_by_", AUDIT_METRICS_FAIR)
-    return rates.unionByName(fair)
-
-
-def _long(df: DataFrame, prefix: str, metrics: Sequence[str]) -> DataFrame:
-    stacked = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-                                  for m in metrics]))
-    return df.select(F.concat(F.lit(prefix), F.col("bucketing")).alias("report"), "bucket",
-                     F.col("grp").cast("string").alias("grp"), stacked.alias("mv")).select(
-        "report", "bucket", "grp", "mv.metric", "mv.value")
+    items = ([("rates_by_", x) for x in AUDIT_METRICS_RATES]
+             + [("fairness_by_", x) for x in AUDIT_METRICS_FAIR])
+    return _long(m, items)
+
+
+def _long(df: DataFrame, items: Sequence[tuple[str, str]]) -> DataFrame:
+    """Unpivot (report prefix, metric) pairs of every aggregate row in one explode."""
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(p).alias("prefix"), F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+        for p, m in items]))
+    return df.select("bucketing", "bucket", F.col("grp").cast("string").alias("grp"), stacked.alias("mv")).select(
+        F.concat(F.col("mv.prefix"), F.col("bucketing")).alias("report"), "bucket", "grp",
+        "mv.metric", "mv.value")
 
 
 def run_label_audit(scored: DataFrame, label: str, cfg: EventConfig = EventConfig()) -> DataFrame:
