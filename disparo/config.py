@@ -53,6 +53,7 @@ class EventConfig:
     group_column: str = "subject_race"
     sex_column: str = "subject_sex"
     baseline_group: str = DEFAULT_BASELINE_GROUP
+    share_exclusions: tuple = ()          # group values treated as unknown in the share (Q6)
     department_column: str = "department_name"
     floor_year: int = DEFAULT_FLOOR_YEAR
     labels: tuple = LABELS

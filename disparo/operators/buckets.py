@@ -15,24 +15,33 @@ from disparo.operators.quantiles import assign_quartile, exact_quantiles, quanti
 log = logging.getLogger(__name__)
 
 
-def minority_flag(group_col: str, baseline: str):
-    """1.0 when the group differs from the baseline, 0.0 when equal, NULL when NULL."""
-    return (F.col(group_col) != F.lit(baseline)).cast("double")
+def minority_flag(group_col: str, baseline: str, exclusions=()):
+    """1.0 when the group differs from the baseline, 0.0 when equal, NULL when NULL.
+
+    Values in ``exclusions`` (e.g. ``unknown``) count as NULL, i.e. are left out of the
+    share; by default none are (the reference counts them as non-baseline).
+    """
+    flag = (F.col(group_col) != F.lit(baseline)).cast("double")
+    if exclusions:
+        flag = F.when(F.col(group_col).isin(*exclusions), F.lit(None).cast("double")).otherwise(flag)
+    return flag
 
 
 def group_share_table(df: DataFrame, place_col: str, group_col: str, baseline: str,
-                      share_col: str = "minority_share_stop", count_col: str = "n_stops_county") -> DataFrame:
+                      share_col: str = "minority_share_stop", count_col: str = "n_stops_county",
+                      exclusions=()) -> DataFrame:
     """Per place: mean of the non-baseline flag (NULL groups skipped) and the row count
     (NULL groups counted).  Partial aggregation keeps a hot place cheap."""
     return (df.groupBy(place_col)
-              .agg(F.avg(minority_flag(group_col, baseline)).alias(share_col),
+              .agg(F.avg(minority_flag(group_col, baseline, exclusions)).alias(share_col),
                    F.count(F.lit(1)).alias(count_col)))
 
 
 def add_group_share(df: DataFrame, cfg: EventConfig = EventConfig(),
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Attach the place-level share back onto every row with a checked broadcast join."""
-    share = group_share_table(df, cfg.county_key, cfg.group_column, cfg.baseline_group)
+    share = group_share_table(df, cfg.county_key, cfg.group_column, cfg.baseline_group,
+                              exclusions=cfg.share_exclusions)
     return lookup_join(df, share, cfg.county_key, "left", max_broadcast_rows)
 
 
@@ -125,7 +134,7 @@ def summary_breaks(df: DataFrame, cfg: EventConfig, income_col: str | None,
     keys = [c for c in (place, income_col) if c]
     aggs = [F.count(F.lit(1)).alias("__rows")]
     if has_share:
-        flag = minority_flag(cfg.group_column, cfg.baseline_group)
+        flag = minority_flag(cfg.group_column, cfg.baseline_group, cfg.share_exclusions)
         aggs += [F.sum(flag).alias("__flag_sum"), F.count(flag).alias("__flag_n")]
     summary = materialize(df.groupBy(*keys).agg(*aggs))
     n = summary.count()

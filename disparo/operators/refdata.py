@@ -18,19 +18,46 @@ def add_reference_year(df: DataFrame, year_col: str = "year", out_col: str = "ac
     return df.withColumn(out_col, floor_year(year_col, floor))
 
 
+def nearest_year(year_col: str, available: Sequence[int]):
+    """Map a year to the closest available year (ties to the earlier one); NULL stays NULL.
+
+    Built from literals (midpoints between consecutive available years), so the fact
+    rows need no join to find it.
+    """
+    years = sorted({int(y) for y in available})
+    y = F.col(year_col)
+    expr = None
+    for lo, hi in zip(years, years[1:]):
+        cond = y <= F.lit((lo + hi) / 2.0)
+        expr = F.when(cond, F.lit(lo)) if expr is None else expr.when(cond, F.lit(lo))
+    last = F.lit(years[-1])
+    return F.when(y.isNull(), F.lit(None).cast("int")).otherwise(
+        last if expr is None else expr.otherwise(last))
+
+
 def attach_reference(df: DataFrame, ref: DataFrame, cfg: EventConfig = EventConfig(),
                      ref_year_col: str = "acs_year",
                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Left-join the reference table on (place key, floored year) (J2).
 
-    Years before the floor use the floor year; later years without reference rows get
-    NULL measures (no ceiling and no nearest-year search, as in the reference).  The
+    Parity: years before the floor use the floor year; later years without reference rows
+    get NULL measures (no ceiling and no nearest-year search, as in the reference).
+    Strict: every year uses the nearest year that has reference rows.  The
     reference must hold one row per key; this is checked so the join never multiplies
     fact rows.  Reference columns other than the keys (e.g. ``state``) are kept.
     """
     if cfg.county_key not in df.columns or "year" not in df.columns:
         return df
-    df = add_reference_year(df, "year", ref_year_col, cfg.floor_year)
+    if cfg.strict:
+        # Strict: the nearest year that has reference rows (the distinct reference years
+        # are a handful of values, read once).
+        years = [r[0] for r in ref.select(ref_year_col).distinct().collect() if r[0] is not None]
+        if years:
+            df = df.withColumn(ref_year_col, nearest_year("year", years))
+        else:
+            df = add_reference_year(df, "year", ref_year_col, cfg.floor_year)
+    else:
+        df = add_reference_year(df, "year", ref_year_col, cfg.floor_year)
     return lookup_join(df, ref, [cfg.county_key, ref_year_col], "left", max_broadcast_rows)
 
 

@@ -55,9 +55,13 @@ def parse_payloads(spark: SparkSession, base: str, fields: Sequence[str]) -> Dat
 def reference_from_payloads(spark: SparkSession, base: str,
                             datasets: Sequence[tuple[str, Sequence[str]]] = DATASETS,
                             measure_names: Mapping[str, str] = MEASURE_NAMES,
-                            name_suffix: str = " county, north carolina") -> DataFrame:
+                            name_suffix: str = " county, north carolina",
+                            valid_range: tuple[float, float] | None = None) -> DataFrame:
     """Parse every dataset, merge them per (year, state, county) and shape the reference
-    table: ``acs_year, state, county_fips3, county_name_norm`` + one double per measure."""
+    table: ``acs_year, state, county_fips3, county_name_norm`` + one double per measure.
+
+    ``valid_range`` turns measures outside [lo, hi] (e.g. negative sentinel codes) into
+    NULL; by default values pass unchecked, as in the reference."""
     order = {name: i for i, (name, _) in enumerate(datasets)}
     codes = [c for _, cs in datasets for c in cs]
     long = parse_payloads(spark, base, [NAME_FIELD, *PLACE_FIELDS, *codes])
@@ -75,4 +79,11 @@ def reference_from_payloads(spark: SparkSession, base: str,
         F.col("state"),
         F.col("county").alias("county_fips3"),
         reference_name_key(F.coalesce(F.col(NAME_FIELD), F.lit("")), name_suffix).alias("county_name_norm"),
-        *[F.col(c).try_cast("double").alias(measure_names[c]) for c in codes])
+        *[_in_range(F.col(c).try_cast("double"), valid_range).alias(measure_names[c]) for c in codes])
+
+
+def _in_range(v, valid_range):
+    if valid_range is None:
+        return v
+    lo, hi = valid_range
+    return F.when(v.between(F.lit(float(lo)), F.lit(float(hi))), v)
