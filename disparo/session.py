@@ -28,6 +28,8 @@ def build_session(master: str | None = None, app: str = "disparo",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Remove checkpoint files of lookup tables once nothing references them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Fused whole-stage-codegen methods of the wide cleaning projection exceed the
         # JVM's 8000-byte JIT limit and would run interpreted (2-3x slower).
         "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
