@@ -97,3 +97,19 @@ def test_single_pass_equals_sliced(spark):
     for g in ("a", "b"):
         vals = [v for k, v, w in rows if k == g for _ in range(w)]
         assert (g, *[brute_disc(vals, p) for p in (0.25, 0.5, 0.75)]) in a
+
+
+def test_sliced_path_forced(spark, monkeypatch):
+    """With the single-window bound at 0 every input takes the range-sliced path."""
+    import disparo.operators.ordered as ordered
+    rows = [("hot", float(i % 50)) for i in range(3000)] + [(f"g{i % 20}", float(i)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    fast = {tuple(r) for r in exact_quantiles(df, "v", group_cols=["g"]).collect()}
+    monkeypatch.setattr(ordered, "SINGLE_PASS_MAX_ROWS", 0)
+    sliced = {tuple(r) for r in exact_quantiles(df, "v", group_cols=["g"]).collect()}
+    assert fast == sliced
+    rnd = random.Random(11)
+    pts = [(round(rnd.random(), 2), int(rnd.random() < 0.4)) for _ in range(2000)]
+    sdf = spark.createDataFrame(pts, "score double, label int")
+    m = ranking_metrics(sdf, "score", "label").first()
+    assert m["auroc"] == pytest.approx(brute_auc(*zip(*pts)), abs=1e-12)
