@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -117,27 +118,38 @@ def evaluate(model, test: DataFrame, label: str, name: str, cfg: EventConfig, ex
 
 def train_evaluate(df: DataFrame, label: str, cfg: EventConfig = EventConfig(),
                    out_base: str | None = None, run_gbt: bool = True, split_key: str | None = None,
-                   exact_metrics: bool = False) -> LabelRun:
+                   exact_metrics: bool = False, parallelism: int = 2) -> LabelRun:
     """C3 for one label: split, class weights, T0/T1 x LR/GBT, ranking and fairness
-    metrics; models and metrics are written under ``out_base`` when given."""
+    metrics; models and metrics are written under ``out_base`` when given.
+
+    ``parallelism`` > 1 fits the variants (and LR/GBT within a variant) from concurrent
+    driver threads; 1 fits them one after another."""
     base = df.where(F.col(label).isNotNull())
     train, test = split(base, cfg, split_key)
     w = fit_class_weights(train, label)
     train = apply_class_weights(train, label, w).persist(StorageLevel.MEMORY_AND_DISK)
     test = apply_class_weights(test, label, w).persist(StorageLevel.MEMORY_AND_DISK)
     models, metric_parts, fair_parts = {}, [], []
+
+    def variant(include_time):
+        v = fit_variant(train, label, cfg, include_time, run_gbt, parallel=parallelism > 1)
+        tag = "T1_with_time" if include_time else "T0_no_time"
+        candidates = [("LR", v.lr)] + ([("GBT", v.gbt)] if v.gbt is not None else [])
+        out = []
+        for kind, model in candidates:
+            pred, m, f = evaluate(model, test, label, f"{kind}_{tag}_{label}", cfg, exact_metrics)
+            out.append((f"{kind}_{v.name}", model, _materialize(m), _materialize(f)))
+            pred.unpersist()
+        return out
+
     try:
-        for include_time in (False, True):
-            v = fit_variant(train, label, cfg, include_time, run_gbt)
-            tag = "T1_with_time" if include_time else "T0_no_time"
-            candidates = [("LR", v.lr)] + ([("GBT", v.gbt)] if v.gbt is not None else [])
-            for kind, model in candidates:
-                name = f"{kind}_{tag}_{label}"
-                models[f"{kind}_{v.name}"] = model
-                pred, m, f = evaluate(model, test, label, name, cfg, exact_metrics)
-                metric_parts.append(_materialize(m))
-                fair_parts.append(_materialize(f))
-                pred.unpersist()
+        # The two variants share nothing but the persisted splits; fit them side by side.
+        with ThreadPoolExecutor(max(1, min(parallelism, 2))) as pool:
+            for result in pool.map(variant, (False, True)):
+                for key, model, m, f in result:
+                    models[key] = model
+                    metric_parts.append(m)
+                    fair_parts.append(f)
     finally:
         train.unpersist()
         test.unpersist()
