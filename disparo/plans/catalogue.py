@@ -16,19 +16,23 @@ from pyspark.sql import functions as F
 
 from disparo.config import EventConfig
 from disparo.operators.buckets import add_demographic_buckets, add_group_share
-from disparo.operators.clean import clip_age, normalize_booleans, standardize_strings
-from disparo.operators.encode import class_counts, distinct_values, frequency_encode, hash_split
-from disparo.operators.fairness import (fairness_by, fairness_by_bucket, fairness_grouping_sets,
-                                        rates_by_bucket)
+from disparo.operators.buckets import summary_breaks
+from disparo.operators.clean import clean_column_names, clip_age, normalize_booleans, standardize_strings
+from disparo.operators.encode import (apply_class_weights, class_counts, distinct_values,
+                                      fit_class_weights, frequency_encode, hash_split)
+from disparo.operators.fairness import (COUNT_COLS, bucket_metrics, fairness_by,
+                                        fairness_grouping_sets, rates_by_bucket)
 from disparo.operators.flags import add_labels_flags
 from disparo.operators.impute import median_impute
-from disparo.operators.quantiles import exact_quantiles
+from disparo.operators.lookup import materialize
+from disparo.operators.model import fit_variant, score
 from disparo.operators.ranking import ranking_metrics
 from disparo.operators.refdata import attach_reference
 from disparo.operators.timefeat import make_time_features
 from disparo.plans import adapters
 from disparo.plans.jobs import audit, enrich, train_evaluate
 from disparo.session import ensure_checkpoint_dir, scratch_path
+from disparo.streaming import read_enriched, start_enrich_stream
 from disparo.sources.payload import DATASETS, MEASURE_NAMES, reference_from_payloads
 from disparo.sources.tables import (read_json_metrics, read_or_build, read_raw_csv, read_table,
                                     write_json_metrics, write_partitioned, write_raw_csv)
@@ -77,7 +81,6 @@ def _a_flags(spark, d):
 
 
 def q_clean_names(spark, d):
-    from disparo.operators.clean import clean_column_names
     n = adapters.table(spark, d, "nation")
     messy = n.select(F.col("n_nationkey").alias(" N NationKey"), F.col("n_name").alias("N Name "),
                      F.col("n_regionkey").alias("n RegionKey"))
@@ -172,7 +175,6 @@ def _ses(spark, d):
 
 
 def q_quartile_breaks(spark, d):
-    from disparo.operators.buckets import summary_breaks
     parts = summary_breaks(_b_ref(spark, d), CFG_B, "median_income")
     inc = parts.income_breaks.select(*[F.col(f"q{i}").alias(f"income_q{i}") for i in (1, 2, 3)])
     shr = parts.share_breaks.select(*[F.col(f"q{i}").alias(f"share_q{i}") for i in (1, 2, 3)])
@@ -212,7 +214,6 @@ def q_fairness_grouping_sets(spark, d):
 
 
 def q_fairness_by_bucket(spark, d):
-    from disparo.operators.fairness import COUNT_COLS, bucket_metrics
     m = bucket_metrics(_ses(spark, d).df, "label", "pred", None,
                        [("income", "income_quartile"), ("share", "minority_share_bucket")], "grp")
     return m.select("bucketing", "bucket", "grp", *COUNT_COLS, "TPR", "FPR", "Rate")
@@ -313,7 +314,6 @@ def q_metrics_json(spark, d):
 def q_stream_enrich(spark, d):
     """C1 as a stream: raw CSV files land in two batches, an available-now stream enriches
     them into the partitioned table, and the frequency is attached on read."""
-    from disparo.streaming import read_enriched, start_enrich_stream
     raw = adapters.raw_events(spark, d)
     land = scratch_path(spark, "landing")
     halves = raw.randomSplit([0.5, 0.5], 1)
@@ -329,7 +329,6 @@ def q_stream_enrich(spark, d):
 # ------------------------------------------------------------------ rows-only (random / models)
 
 def _cohort_a(spark, d):
-    from disparo.operators.lookup import materialize
     return materialize(_enriched(spark, d).where(F.col("time_available") == 1))
 
 
@@ -344,35 +343,31 @@ def q_random_split(spark, d):
 
 
 def _fit_one(spark, d, kind):
-    from pyspark.sql.functions import col
-    from disparo.operators.encode import apply_class_weights, fit_class_weights
-    from disparo.operators.model import fit_variant, score
+    """LR or GBT with time features on the citation label, trained on the hash-split train
+    part of the enriched cohort."""
     c = _cohort_a(spark, d)
-    tagged = hash_split(c.where(col("citation_issued").isNotNull()), "event_id")
-    train = tagged.where(col("split") == "train")
-    test = tagged.where(col("split") == "test")
+    tagged = hash_split(c.where(F.col("citation_issued").isNotNull()), "event_id")
+    train = tagged.where(F.col("split") == "train")
+    test = tagged.where(F.col("split") == "test")
     w = fit_class_weights(train, "citation_issued")
     v = fit_variant(apply_class_weights(train, "citation_issued", w), "citation_issued", CFG_A,
-                    include_time=True, run_gbt=(kind == "gbt"))
+                    include_time=True, run_gbt=(kind == "gbt"), run_lr=(kind == "lr"))
     model = v.gbt if kind == "gbt" else v.lr
     return model, c, test
 
 
 def q_train_lr(spark, d):
     model, _, test = _fit_one(spark, d, "lr")
-    from disparo.operators.model import score
     return score(model, test).select("event_id", "citation_issued", "prediction", "p_hat")
 
 
 def q_train_gbt(spark, d):
     model, _, test = _fit_one(spark, d, "gbt")
-    from disparo.operators.model import score
     return score(model, test).select("event_id", "citation_issued", "prediction", "p_hat")
 
 
 def q_model_score(spark, d):
     model, cohort, _ = _fit_one(spark, d, "lr")
-    from disparo.operators.model import score
     return score(model, cohort).select("event_id", "citation_issued", "prediction", "p_hat")
 
 
@@ -389,7 +384,6 @@ def q_model_compare(spark, d):
 def q_model_audit(spark, d):
     """C4 on a fitted model: LR with time features scores the whole cohort, then rates
     and fairness by share bucket x group."""
-    from disparo.operators.model import score
     model, cohort, _ = _fit_one(spark, d, "lr")
     b = add_demographic_buckets(cohort, CFG_A, relative_error=None).df
     return audit(score(model, b), "citation_issued", "p_hat", "prediction", "subject_race")

@@ -13,7 +13,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disparo.config import QUARTILE_LABELS, EventConfig
+from disparo.config import EventConfig
 from disparo.operators.buckets import BucketResult, add_demographic_buckets
 from disparo.operators.clean import (clean_column_names, clip_age, normalize_booleans,
                                      standardize_strings)
@@ -21,6 +21,7 @@ from disparo.operators.encode import (apply_class_weights, bernoulli_sample, fit
                                       frequency_encode, hash_split)
 from disparo.operators.fairness import bucket_metrics, fairness_grouping_sets
 from disparo.operators.flags import add_labels_flags
+from disparo.operators.lookup import materialize
 from disparo.operators.model import fit_variant, score
 from disparo.operators.ranking import ranking_metrics
 from disparo.operators.refdata import attach_reference
@@ -166,7 +167,6 @@ def train_evaluate(df: DataFrame, label: str, cfg: EventConfig = EventConfig(),
 
 def _materialize(df: DataFrame) -> DataFrame:
     # Small per-model metric tables: keep them cheap to re-read after the inputs are released.
-    from disparo.operators.lookup import materialize
     return materialize(df)
 
 
@@ -220,4 +220,4 @@ def run_label_audit(scored: DataFrame, label: str, cfg: EventConfig = EventConfi
 
 
 __all__ = ["enrich", "build_enriched", "cohort", "ses_buckets", "train_evaluate", "audit",
-           "run_label_audit", "QUARTILE_LABELS"]
+           "run_label_audit"]
