@@ -78,3 +78,19 @@ def test_json_metrics_null_is_null(spark, tmp_dir):
     text = open(os.path.join(tmp_dir, "m", files[0])).read()
     assert '"TPR":null' in text and "NaN" not in text
     assert read_json_metrics(spark, tmp_dir + "/m", df.schema).collect() == df.collect()
+
+
+def test_partitioned_sink_splits_hot_year(spark, tmp_dir):
+    # One year holds 40% of the rows; with a small advisory size AQE splits it over tasks.
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        df = spark.range(400_000).select(
+            F.col("id"), F.when(F.col("id") % 5 < 2, F.lit(2020)).otherwise((F.col("id") % 7 + 2010).cast("int"))
+            .alias("year"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        write_partitioned(df.repartition(8), tmp_dir + "/hot")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(tmp_dir + "/hot/year=2020") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert read_table(spark, tmp_dir + "/hot").where("year = 2020").count() == 160_000
