@@ -116,3 +116,15 @@ def test_hash_split_disjoint_complete(spark):
     assert counts["train"] + counts["test"] == 2000 and 1500 < counts["train"] < 1700
     again = hash_split(df.repartition(7), "event_id")
     assert s.exceptAll(again).count() == 0
+
+
+def test_lookup_join_hot_null_key_shuffle_path(spark):
+    # A third of the fact rows have a NULL key; the shuffle fallback must keep them all,
+    # unmatched, and match the rest.
+    fact = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 10)
+                                    .alias("k"), F.col("id"))
+    lk = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "k long, v string")
+    out = lookup_join(fact, lk, "k", max_broadcast_rows=0)
+    assert out.count() == 3000
+    assert out.where(F.col("k").isNull() & F.col("v").isNull()).count() == 1000
+    assert out.where(F.col("k").isNotNull() & F.col("v").isNull()).count() == 0
