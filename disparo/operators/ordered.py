@@ -30,9 +30,10 @@ SINGLE_PASS_MAX_ROWS = 1_000_000
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), ascending: bool = True,
                    num_slices: int | None = None, prefix: str = "cum_",
-                   bounded_rows: int | None = None) -> DataFrame:
+                   bounded_rows: int | None = None, with_totals: bool = False) -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over rows of the same group whose ``order_col`` sorts
-    at or before this row's.  ``order_col`` must be unique within a group.
+    at or before this row's.  ``order_col`` must be unique within a group.  With
+    ``with_totals`` also ``tot_<c>`` = the group's whole sum (no extra join needed).
 
     ``bounded_rows`` is a caller-proven upper bound on the input's row count; when it is
     at most ``SINGLE_PASS_MAX_ROWS`` one window per group does the work (no slicing).
@@ -42,7 +43,11 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     if bounded_rows is not None and bounded_rows <= SINGLE_PASS_MAX_ROWS:
         w = Window.partitionBy(*group_cols).orderBy(key).rowsBetween(Window.unboundedPreceding,
                                                                      Window.currentRow)
-        return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
+        out = df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
+        if with_totals:
+            whole = Window.partitionBy(*group_cols)
+            out = out.withColumns({f"tot_{c}": F.sum(c).over(whole) for c in sum_cols})
+        return out
     range_cols = [*[F.col(g) for g in group_cols], key]
     # Without an explicit count AQE may merge adjacent slices; merged slices stay in range
     # order, so the partition id still orders them.
@@ -55,12 +60,15 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     off_w = (Window.partitionBy(*group_cols).orderBy(_PID)
                    .rowsBetween(Window.unboundedPreceding, -1))
     renamed = {g: f"__g{i}" for i, g in enumerate(group_cols)}
+    whole_w = Window.partitionBy(*group_cols)
     offsets = totals.select(F.col(_PID).alias("__opid"),
                             *[F.col(g).alias(renamed[g]) for g in group_cols],
                             *[F.coalesce(F.sum(f"__tot_{c}").over(off_w), F.lit(0)).alias(f"__off_{c}")
-                              for c in sum_cols])
+                              for c in sum_cols],
+                            *[F.sum(f"__tot_{c}").over(whole_w).alias(f"__all_{c}") for c in sum_cols])
     cond = [F.col(_PID) == F.col("__opid")] + [F.col(g).eqNullSafe(F.col(renamed[g])) for g in group_cols]
     joined = local.join(offsets, on=cond, how="inner")
     return joined.select(*[F.col(c) for c in df.columns],
                          *[(F.col(f"{prefix}{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}")
-                           for c in sum_cols])
+                           for c in sum_cols],
+                         *([F.col(f"__all_{c}").alias(f"tot_{c}") for c in sum_cols] if with_totals else []))

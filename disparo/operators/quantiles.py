@@ -29,35 +29,28 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float] = QUAR
     ``weight_col`` (a non-negative integer count) lets a pre-aggregated table stand for
     its rows: a row with weight w counts as w copies of its value.  ``bounded_rows`` is a
     proven bound on the input's rows (see ``running_totals``).
-    Output: group columns + one column per probability (``names`` or ``q1..qk``).
-    The global case is one constant group, so every join below stays an equi-join.
+    Output: group columns + one column per probability (``names`` or ``q1..qk``); the
+    global case gives one row (NULLs when there is no value).
     """
     names = list(names or [f"q{i + 1}" for i in range(len(probs))])
-    keys = list(group_cols) or ["__all"]
-    src = df if group_cols else df.withColumn("__all", F.lit(0))
-    counts = (src.where(F.col(value_col).isNotNull())
-                 .groupBy(*keys, value_col)
-                 .agg((F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)).cast("bigint").alias("__n"))
-                 .where(F.col("__n") > 0))
+    keys = list(group_cols)
+    counts = (df.where(F.col(value_col).isNotNull())
+                .groupBy(*keys, value_col)
+                .agg((F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)).cast("bigint").alias("__n"))
+                .where(F.col("__n") > 0))
     if bounded_rows is None:
         # One scan of the input: the distinct-value table is written once (also cutting
         # its lineage) and its exact size picks the ranking path.
         counts = materialize(counts)
         bounded_rows = counts.count()
-    ranked = running_totals(counts, value_col, ["__n"], keys, bounded_rows=bounded_rows)
-    renamed = {g: f"__t{i}" for i, g in enumerate(keys)}
-    totals = (counts.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-                    .select(*[F.col(g).alias(renamed[g]) for g in keys], "__total"))
-    cond = [F.col(g).eqNullSafe(F.col(renamed[g])) for g in keys]
-    ranked = ranked.join(totals, on=cond, how="inner").drop(*renamed.values())
+    ranked = running_totals(counts, value_col, ["__n"], keys, bounded_rows=bounded_rows, with_totals=True)
     # Exactly one row per (group, probability) crosses the rank ceil(p * n).
     probe = ranked.withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    target = F.greatest(F.ceil(F.col("__p") * F.col("__total")), F.lit(1))
+    target = F.greatest(F.ceil(F.col("__p") * F.col("tot___n")), F.lit(1))
     hit = probe.where((F.col("cum___n") >= target) & (F.col("cum___n") - F.col("__n") < target))
-    out = hit.groupBy(*keys).agg(
+    return hit.groupBy(*keys).agg(
         *[F.max(F.when(F.col("__p") == F.lit(float(p)), F.col(value_col))).alias(nm)
           for p, nm in zip(probs, names)])
-    return out if group_cols else out.drop("__all")
 
 
 def quantile_breaks(df: DataFrame, value_col: str, probs: Sequence[float] = QUARTILES,

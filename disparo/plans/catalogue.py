@@ -176,10 +176,11 @@ def _ses(spark, d):
 
 def q_quartile_breaks(spark, d):
     parts = summary_breaks(_b_ref(spark, d), CFG_B, "median_income")
-    inc = parts.income_breaks.select(*[F.col(f"q{i}").alias(f"income_q{i}") for i in (1, 2, 3)])
-    shr = parts.share_breaks.select(*[F.col(f"q{i}").alias(f"share_q{i}") for i in (1, 2, 3)])
-    # Both sides hold exactly one row.
-    return inc.withColumn("__k", F.lit(1)).join(shr.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    tagged = (parts.income_breaks.withColumn("b", F.lit("income"))
+              .unionByName(parts.share_breaks.withColumn("b", F.lit("share"))))
+    # Two one-row tables side by side: one aggregate over their union, no join.
+    return tagged.agg(*[F.max(F.when(F.col("b") == b, F.col(f"q{i}"))).alias(f"{b}_q{i}")
+                        for b in ("income", "share") for i in (1, 2, 3)])
 
 
 def q_income_quartile(spark, d):
