@@ -81,9 +81,10 @@ def _a_flags(spark, d):
 
 
 def q_clean_names(spark, d):
-    n = adapters.table(spark, d, "nation")
-    messy = n.select(F.col("n_nationkey").alias(" N NationKey"), F.col("n_name").alias("N Name "),
-                     F.col("n_regionkey").alias("n RegionKey"))
+    c = adapters.table(spark, d, "customer")
+    messy = c.select(F.col("c_custkey").alias(" C CustKey"), F.col("c_name").alias("C Name "),
+                     F.col("c_nationkey").alias("c NationKey"), F.col("c_acctbal").alias(" C AcctBal "),
+                     F.col("c_mktsegment").alias("C MktSegment"))
     return clean_column_names(messy)
 
 

@@ -193,7 +193,7 @@ def w(*ctes: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "clean_names": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "clean_names": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
 
     "string_standardize": w(A, A_STD) + "SELECT event_id, " + ", ".join(TEXT_COLS) + " FROM a_std",
 
