@@ -62,3 +62,15 @@ def test_reference_valid_range(spark, tmp_dir):
                             ["A County, North Carolina", "-666666666", "37", "001"]]))
     assert reference_from_payloads(spark, tmp_dir).first()["median_income"] == -666666666.0
     assert reference_from_payloads(spark, tmp_dir, valid_range=(0, 1e9)).first()["median_income"] is None
+
+
+def test_pipeline_cli_strict(spark, tmp_dir):
+    from disparo.plans.pipeline import main
+    raw = f"{tmp_dir}/raw"
+    write_raw_csv(adapters.raw_events(spark, SF001), raw)
+    main(["--raw", raw, "--enriched", f"{tmp_dir}/enriched", "--out", f"{tmp_dir}/out",
+          "--no-gbt", "--strict", "--exact-breaks"])
+    runs = os.listdir(f"{tmp_dir}/out")
+    assert len(runs) == 1
+    assert os.path.exists(f"{tmp_dir}/out/{runs[0]}/citation_issued/models/LR_T1")
+    assert not os.path.exists(f"{tmp_dir}/out/{runs[0]}/citation_issued/models/GBT_T1")
