@@ -1,11 +1,12 @@
 """Joining a fact table to a derived lookup table with a *checked* broadcast.
 
-The lookup tables here (key frequencies, per-place shares, the reference dimension,
-partition offsets) are aggregates whose size is only known after they are computed.
-``lookup_join`` materialises the lookup once into the shared checkpoint folder (which
-also cuts its lineage, so a lost executor never replays the fact scan behind it), counts
-its rows, and broadcasts it only under ``max_broadcast_rows``.  Above the bound it falls
-back to a shuffle join, where AQE's skew handling splits hot fact keys.
+The lookup tables here (key frequencies, per-place shares, the reference dimension) are
+aggregates whose size is only known after they are computed.  ``lookup_join``
+materialises the lookup once into the shared checkpoint folder (which also cuts its
+lineage, so a lost executor never replays the fact scan behind it), counts its rows, and
+broadcasts it only under ``max_broadcast_rows`` and an estimated ``max_broadcast_bytes``
+(rows x schema width).  Above either bound it falls back to a shuffle join, where AQE's
+skew handling splits hot fact keys.
 """
 
 from __future__ import annotations
@@ -18,6 +19,20 @@ from pyspark.sql import functions as F
 from disparo.session import ensure_checkpoint_dir
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+# Estimated bytes per value by type name; text and nested values are charged generously.
+_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
+          "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def estimated_row_bytes(df: DataFrame) -> int:
+    return 16 + sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields)
+
+
+def fits_broadcast(df: DataFrame, rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    return rows <= max_rows and rows * estimated_row_bytes(df) <= max_bytes
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -44,7 +59,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how
     """
     keys = [on] if isinstance(on, str) else list(on)
     if known_max_rows is not None:
-        side = F.broadcast(lookup) if known_max_rows <= max_broadcast_rows else lookup
+        side = F.broadcast(lookup) if fits_broadcast(lookup, known_max_rows, max_broadcast_rows) else lookup
         return fact.join(side, on=keys, how=how)
     small = materialize(lookup) if checkpoint else lookup
     stats = small.agg(F.count(F.lit(1)).alias("n"),
@@ -55,5 +70,5 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how
         raise ValueError(f"lookup keys {keys} are not unique ({n} rows, {k} distinct keys)")
     if nk > 1 and unique:
         raise ValueError(f"lookup keys {keys} have {nk} NULL-key rows")
-    side = F.broadcast(small) if n <= max_broadcast_rows else small
+    side = F.broadcast(small) if fits_broadcast(small, n, max_broadcast_rows) else small
     return fact.join(side, on=keys, how=how)

@@ -128,3 +128,11 @@ def test_lookup_join_hot_null_key_shuffle_path(spark):
     assert out.count() == 3000
     assert out.where(F.col("k").isNull() & F.col("v").isNull()).count() == 1000
     assert out.where(F.col("k").isNotNull() & F.col("v").isNull()).count() == 0
+
+
+def test_broadcast_byte_estimate(spark):
+    from disparo.operators.lookup import estimated_row_bytes, fits_broadcast
+    df = spark.createDataFrame([(1, "a", 2.0)], "k long, s string, v double")
+    assert estimated_row_bytes(df) == 16 + 8 + 64 + 8
+    assert fits_broadcast(df, 1000) and not fits_broadcast(df, 1000, max_bytes=1000)
+    assert not fits_broadcast(df, 2_000_000)
