@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from disparo.operators.lookup import materialize
 from disparo.operators.quantiles import exact_quantiles
 
 RAW_COLUMNS = ("event_id", "date", "time", "county_name", "subject_race", "subject_sex",
@@ -131,12 +132,18 @@ def reference_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("county_fips3"),
                   "o_orderstatus", "o_orderpriority", "o_totalprice"))
     keys = ["county_name_norm", "acs_year"]
-    rates = j.groupBy(*keys, "state", "county_fips3").agg(
+    # One scan of the orders: counts per (place, year, price) carry everything both the
+    # rates and the exact median need; the rest works on this summary.
+    summary = materialize(j.groupBy(*keys, "state", "county_fips3", "o_totalprice").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("o_orderstatus") == "F").alias("n_f"),
         F.count_if(F.col("o_orderstatus") == "P").alias("n_p"),
-        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_u"))
-    med = exact_quantiles(j, "o_totalprice", [0.5], keys, ["median_income"])
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_u")))
+    rows = summary.count()
+    rates = summary.groupBy(*keys, "state", "county_fips3").agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_f", "n_p", "n_u")])
+    med = exact_quantiles(summary, "o_totalprice", [0.5], keys, ["median_income"],
+                          weight_col="n", bounded_rows=rows)
     return rates.join(med, keys, "left").select(
         *keys, "state", "county_fips3", "median_income",
         (F.lit(100.0) * F.col("n_f") / F.col("n")).alias("poverty_rate"),
