@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from disparo.plans.oracle import ORACLE
 from tests.conftest import SF001
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -45,7 +46,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "TPR" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(se.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = se.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
