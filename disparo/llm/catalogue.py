@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from disparo.llm.common import documents
 from disparo.llm.decontaminate import contamination_report
 from disparo.llm.exact_dedup import duplicate_report
+from disparo.llm.jaccard_join import jaccard_components
+from disparo.llm.langid import train_and_identify
+from disparo.llm.sharding import shard_documents
+from disparo.llm.substring_dedup import remove_repeats
+from disparo.llm.token_counts import token_counts
 
 
 def op4_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -19,7 +23,32 @@ def op5_benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_components(documents(spark, d))
+
+
+def op7_sharding(spark: SparkSession, d: str) -> DataFrame:
+    return shard_documents(documents(spark, d), shards=16)
+
+
+def op8_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return remove_repeats(documents(spark, d), with_text=False)
+
+
+def op9_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts(documents(spark, d))
+
+
+def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return train_and_identify(documents(spark, d)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_sharding": op7_sharding,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_token_counts": op9_token_counts,
+    "op10_language_id": op10_language_id,
 }

@@ -34,7 +34,37 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0)
        coalesce(words.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+
+OP6 = f"""WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all({_low('text')}, {_SPACED}) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, e.b FROM reach r JOIN e ON e.a = r.y)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.y) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id, n.n"""
+
+OP8 = f"""WITH
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+low AS (SELECT g, min(doc_id) AS least FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, p FROM (
+           SELECT win.doc_id, unnest(range(win.i, win.i + 50)) AS p FROM win JOIN low USING (g) WHERE low.least < win.doc_id)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n
+         FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
 ORACLE = {
     "op4_exact_dedup": OP4,
     "op5_benchmark_decontamination": OP5,
+    "op6_ngram_jaccard_join": OP6,
+    "op8_substring_dedup": OP8,
 }
