@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from disparo.llm.common import documents
+from disparo.llm.common import documents, ship_package
 from disparo.llm.decontaminate import contamination_report
 from disparo.llm.exact_dedup import duplicate_report
 from disparo.llm.jaccard_join import jaccard_components
@@ -43,7 +43,15 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     return train_and_identify(documents(spark, d)).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {
+def _query(fn):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, d)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
+_ALL = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
@@ -52,3 +60,5 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
 }
+
+QUERIES = {name: _query(fn) for name, fn in _ALL.items()}

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import disparo
 from disparo.session import scratch_path
 
 
@@ -34,3 +38,21 @@ def groups_for(spark: SparkSession, rows: int, least: int, most: int) -> int:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this library (once an application), for sessions whose Python workers
+    do not have it on their path."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(disparo.__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="disparo-ship-")) / "disparo.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(Path(root.name) / f.relative_to(root)))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
