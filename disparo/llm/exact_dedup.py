@@ -158,9 +158,10 @@ class Duplicates:
             docs.withColumns({f"{_P}text": text, f"{_P}print": self.print_of(F.xxhash64(text))}).join(self.suspects.withColumnRenamed("print", f"{_P}print"), f"{_P}print", "left_semi")
                 .withColumn(f"{_P}row", F.monotonically_increasing_id()), "dedup-copies")
         # Byte verification: equal texts meet here as whole texts.
-        self.classes = (self.copies.groupBy(f"{_P}text")
+        # Stored, so that both sides of a join with the copies are dealt anew and a hot text can be split.
+        self.classes = stored(self.copies.groupBy(f"{_P}text")
                         .agg(F.max(F.struct(F.col(id_col).alias("id"), F.col(f"{_P}row").alias("row"))).alias("keep"),
-                             F.count(F.lit(1)).alias("group_size")))
+                             F.count(F.lit(1)).alias("group_size")), "dedup-classes")
 
 
 def duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
