@@ -7,13 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from disparo.llm.common import documents, ship_package
 from disparo.llm.decontaminate import contamination_report
 from disparo.llm.exact_dedup import duplicate_report
+from disparo.llm import quality
+from disparo.llm.html_extract import main_text
 from disparo.llm.jaccard_join import jaccard_components
 from disparo.llm.langid import train_and_identify
+from disparo.llm.sentencepiece import encode_documents
 from disparo.llm.sharding import shard_documents
 from disparo.llm.substring_dedup import remove_repeats
 from disparo.llm.token_counts import token_counts
 
 
+def op1_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    return quality.rate(docs, quality.fit(docs, quality.graded(documents(spark, d, "labels"))))
+
+
+def op2_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return encode_documents(documents(spark, d))
+
+
+def op3_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return main_text(documents(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op4_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return duplicate_report(documents(spark, d))
 
@@ -52,6 +68,9 @@ def _query(fn):
 
 
 _ALL = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_html_extraction": op3_html_extraction,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,

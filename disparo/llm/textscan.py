@@ -94,6 +94,23 @@ def chunks(batches, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[
             at = end
 
 
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span, equal for equal bytes."""
+    n = len(data)
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_VALUES[data] * _power(_BASE, n), out=total[1:])
+    h = (total[end] - total[start]) * _power(_INV, n + 1)[start]
+    return mix(h + (end - start).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
+
+
+def ragged(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Positions ``start[i] .. start[i] + count[i] - 1`` of all i, in order."""
+    first = np.cumsum(count) - count
+    return np.arange(int(count.sum())) + np.repeat(start - first, count)
+
+
 class Words:
     """Words of a slice: ``start``/``end`` byte positions, ``first[r]:first[r+1]`` the words of
     row r, ``hash`` 64 bits a word."""
@@ -112,16 +129,7 @@ class Words:
         self.start = np.flatnonzero(inside & (~before | edge))
         self.end = np.flatnonzero(before & (~inside | edge))
         self.first = np.searchsorted(self.start, off)
-        self.hash = self._hash() if with_hash else None
-
-    def _hash(self) -> np.ndarray:
-        n = len(self.data)
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[self.data] * _power(_BASE, n), out=total[1:])
-        h = (total[self.end] - total[self.start]) * _power(_INV, n)[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
+        self.hash = span_hash(data, self.start, self.end) if with_hash else None
 
     @property
     def counts(self) -> np.ndarray:
