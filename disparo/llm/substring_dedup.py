@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from disparo.llm.common import stored, text_or_empty
 from disparo.llm.fm_index import NONE, FMIndex
-from disparo.llm.textscan import Words, chunks, in_row, long_window_hash, non_space_class, window_hash
+from disparo.llm.textscan import Words, chunks, in_row, mixed_sums, non_space_class, window_hash
 
 WINDOW = 50
 ANCHOR_WORDS = 8
@@ -87,22 +87,18 @@ def _cut(window: int):
     def run(batches):
         for part, data, off in chunks(batches):
             w = Words(data, off, non_space_class())
-            joined = long_window_hash(w.hash, 1)  # word hashes mixed once more, for content sums
-            node_col = part.column(part.schema.get_field_index("node")).to_numpy()
-            runs = part.column(part.schema.get_field_index("runs")).to_pylist()
-            out = [[], [], [], [], [], []]
-            for r, own in enumerate(runs):
-                base = int(w.first[r])
-                for x in own:
-                    a, b = base + x["start"], base + x["start"] + x["windows"] + window - 1
-                    out[0].append(node_col[r])
-                    out[1].append(x["anchor"])
-                    out[2].append(x["start"])
-                    out[3].append(x["windows"])
-                    out[4].append(int(window_hash(joined[a:b], b - a).view(np.int64)[0]))
-                    out[5].append(b" ".join(data[w.start[a]:w.end[b - 1]].tobytes().split()))
+            runs = part.column(part.schema.get_field_index("runs"))
+            flat = runs.flatten()
+            begin, many, anchor = (flat.field(i).to_numpy() for i in range(3))
+            row = np.repeat(np.arange(part.num_rows), np.diff(runs.offsets.to_numpy()))
+            first = w.first[row] + begin
+            last = first + many + window - 1
+            content = mixed_sums(w.hash, first, last).view(np.int64)
+            node = part.column(part.schema.get_field_index("node")).to_numpy()[row]
+            joined = [b" ".join(data[s:e].tobytes().split()) for s, e in zip(w.start[first].tolist(), w.end[last - 1].tolist())]
+            out = (node, anchor, begin, many, content, joined)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-            for a in range(0, len(out[0]), 2000):
+            for a in range(0, len(joined), 2000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[a:a + 2000], k) for c, k in zip(out, kinds)],
                                                  ["node", "anchor", "start", "windows", "content", "words"])
     return run
@@ -151,10 +147,11 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     anchors = stored(texts.select("node", "text").mapInArrow(_anchors(window, anchor_words),
                                                              "node long, anchor long, start int, windows int"), "substring-anchors")
     shared = anchors.groupBy("anchor").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("anchor")
+    shared = stored(shared, "substring-shared")  # dealt anew in the join, so a common anchor can be split
     suspects = anchors.join(shared, "anchor").groupBy("node").agg(
         F.array_distinct(F.collect_list(F.struct("start", "windows", "anchor"))).alias("runs"))
     suspects = stored(suspects.join(owners, "node"), "substring-suspects")
-    small = suspects.count() <= MAX_BROADCAST_ROWS and _run_bytes(suspects) <= 64 << 20
+    small = suspects.count() <= MAX_BROADCAST_ROWS and _run_bytes(suspects) <= 32 << 20
     listed = F.broadcast(suspects) if small else suspects
     own = texts.join(listed, "node").where("id = owner").select("node", "text", "runs")
     passages = stored(own.mapInArrow(_cut(window), _PASSAGES).join(owners, "node").distinct(), "substring-passages")
@@ -232,7 +229,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = docs.select(F.xxhash64(text_or_empty(text_col)).alias("node")).groupBy("node").count().where("count > 1").select("node")
     asked = stored(marked.select("node", "owner", "hits").unionByName(
         found.join(copies, "node", "left_semi").where("hits is null").select("node", "owner", "hits")), "substring-asked")
-    small = asked.count() <= MAX_BROADCAST_ROWS and (asked.agg(F.sum(F.greatest(F.size("hits"), F.lit(1)))).first()[0] or 0) * 24 <= 64 << 20
+    small = asked.count() <= MAX_BROADCAST_ROWS and (asked.agg(F.sum(F.greatest(F.size("hits"), F.lit(1)))).first()[0] or 0) * 24 <= 32 << 20
     joined = rows.join(F.broadcast(asked) if small else asked, "node", "left").select(
         "doc", "text", F.when(F.col("id") == F.col("owner"), F.col("hits")).alias("hits"),
         F.coalesce(F.col("id") > F.col("owner"), F.lit(False)).alias("copy"))

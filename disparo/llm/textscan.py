@@ -154,15 +154,15 @@ def window_hash(word_hash: np.ndarray, k: int) -> np.ndarray:
     return mix(acc ^ U64(k))
 
 
-def long_window_hash(word_hash: np.ndarray, k: int) -> np.ndarray:
-    """As ``window_hash`` for large ``k``, from one prefix sum."""
-    n = len(word_hash) - k + 1
-    if n <= 0:
+def mixed_sums(word_hash: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of each run of words ``first[i]:last[i]`` of any length, from one prefix sum."""
+    base, n = 0xE7037ED1A0B428DB, len(word_hash)
+    if not len(first):
         return np.zeros(0, np.uint64)
-    base = 0xE7037ED1A0B428DB
-    total = np.zeros(len(word_hash) + 1, np.uint64)
-    np.cumsum(word_hash * _power(base, len(word_hash)), out=total[1:])
-    return mix((total[k:] - total[:-k]) * _power(pow(base, -1, 1 << 64), n))
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(word_hash * _power(base, n), out=total[1:])
+    h = (total[last] - total[first]) * _power(pow(base, -1, 1 << 64), n + 1)[first]
+    return mix(h + (last - first).astype(np.uint64))
 
 
 def in_row(first: np.ndarray, n_words: int, k: int) -> np.ndarray:
