@@ -42,17 +42,19 @@ def null_if_token(c, tokens: Sequence[str]) -> Column:
     return F.when(F.lower(F.trim(c)).isin(*tokens), F.lit(None)).otherwise(F.trim(c))
 
 
-# A string the non-ANSI string->int cast accepts: optional sign, digits, optional
-# fractional part (truncated).  Anything else casts to NULL.
-_INT_TEXT = r"^[+-]?[0-9]+(\.[0-9]*)?$"
+# A string the non-ANSI string->int cast accepts: blanks and control characters around it,
+# optional sign, digits, optional fractional part (truncated; ``.5`` is 0).  A sign alone,
+# an exponent or anything else casts to NULL.
+_INT_TEXT = r"^[\x00-\x20\x7F]*([+-]?)([0-9]*)(\.?)[0-9]*[\x00-\x20\x7F]*$"
 
 
 def parity_int(c) -> Column:
     """Integer value of a text the way a non-ANSI ``cast(string as int)`` reads it:
-    surrounding spaces ignored, fraction truncated, otherwise NULL."""
-    t = F.trim(_col(c))
-    return F.when(t.rlike(_INT_TEXT),
-                  F.regexp_extract(t, r"^([+-]?[0-9]+)", 1).try_cast("int"))
+    surrounding blanks ignored, fraction truncated, otherwise NULL."""
+    c = _col(c)
+    sign, digits, dot = (F.regexp_extract(c, _INT_TEXT, i) for i in (1, 2, 3))
+    return F.when(c.rlike(_INT_TEXT) & ((digits != "") | (dot != "")),
+                  F.concat(sign, F.when(digits == "", "0").otherwise(digits)).try_cast("int"))
 
 
 def age_in_range(c, lo: int, hi: int, strict: bool = False) -> Column:

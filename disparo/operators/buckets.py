@@ -140,7 +140,7 @@ def summary_breaks(df: DataFrame, cfg: EventConfig, income_col: str | None,
     n = summary.count()
     income = share = share_q = None
     if income_col:
-        income = exact_quantiles(summary, income_col, weight_col="__rows", bounded_rows=n)
+        income = exact_quantiles(summary, income_col, weight_col="__rows")
     if has_share:
         share = (summary.groupBy(place)
                         .agg((F.sum("__flag_sum") / F.sum("__flag_n")).alias("minority_share_stop"),
@@ -149,7 +149,7 @@ def summary_breaks(df: DataFrame, cfg: EventConfig, income_col: str | None,
         weighted = (summary.where(F.col(place).isNotNull())
                            .groupBy(place).agg(F.sum("__rows").alias("__rows"))
                            .join(share, place))
-        share_q = exact_quantiles(weighted, "minority_share_stop", weight_col="__rows", bounded_rows=n)
+        share_q = exact_quantiles(weighted, "minority_share_stop", weight_col="__rows")
     return SummaryParts(n, share, income, share_q)
 
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from disparo.session import ensure_checkpoint_dir
+from disparo.session import ensure_checkpoint_dir, scratch_path
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -41,6 +41,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back: like
+    ``materialize``, but later steps keep column pruning, pushdown and statistics."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _any_null(keys):
     cond = F.col(keys[0]).isNull()
     for k in keys[1:]:

@@ -7,12 +7,15 @@ per group would pull a whole hot group into one task.  Instead:
 1. the input is first reduced to one row per (group, key) by the caller (counts per
    distinct value), so duplicated values cannot pile up;
 2. ``repartitionByRange`` over (group..., key) splits the ordered domain into balanced
-   slices (a hot group spans many slices);
+   slices (a hot group spans many slices), and the rows are stored with their slice id:
+   every later step reads that id, none derives it again;
 3. each slice computes its local running sum (window over slice x group, bounded by the
    slice size);
 4. the per-(slice, group) totals - at most #slices + #groups rows - give each slice its
    offset within its group (a window over that small table);
 5. offsets are joined back on (slice, group).
+
+The same steps run at every size; AQE makes a small input one slice.
 """
 
 from __future__ import annotations
@@ -22,37 +25,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from disparo.operators.lookup import store_table
+
 _PID = "__slice"
-# A proven-small input (e.g. a materialised summary) is ranked in one window per group.
-SINGLE_PASS_MAX_ROWS = 1_000_000
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), ascending: bool = True,
                    num_slices: int | None = None, prefix: str = "cum_",
-                   bounded_rows: int | None = None, with_totals: bool = False) -> DataFrame:
+                   with_totals: bool = False) -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over rows of the same group whose ``order_col`` sorts
     at or before this row's.  ``order_col`` must be unique within a group.  With
     ``with_totals`` also ``tot_<c>`` = the group's whole sum (no extra join needed).
-
-    ``bounded_rows`` is a caller-proven upper bound on the input's row count; when it is
-    at most ``SINGLE_PASS_MAX_ROWS`` one window per group does the work (no slicing).
+    The sliced rows are written once (an eager step).
     """
     group_cols = list(group_cols)
     key = F.col(order_col).asc_nulls_last() if ascending else F.col(order_col).desc_nulls_last()
-    if bounded_rows is not None and bounded_rows <= SINGLE_PASS_MAX_ROWS:
-        w = Window.partitionBy(*group_cols).orderBy(key).rowsBetween(Window.unboundedPreceding,
-                                                                     Window.currentRow)
-        out = df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
-        if with_totals:
-            whole = Window.partitionBy(*group_cols)
-            out = out.withColumns({f"tot_{c}": F.sum(c).over(whole) for c in sum_cols})
-        return out
     range_cols = [*[F.col(g) for g in group_cols], key]
     # Without an explicit count AQE may merge adjacent slices; merged slices stay in range
-    # order, so the partition id still orders them.
+    # order, so the stored partition id still orders them.
     ranged = df.repartitionByRange(num_slices, *range_cols) if num_slices else df.repartitionByRange(*range_cols)
-    sliced = ranged.withColumn(_PID, F.spark_partition_id())
+    sliced = store_table(ranged.withColumn(_PID, F.spark_partition_id()), "slices")
     local_w = (Window.partitionBy(_PID, *group_cols).orderBy(key)
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.withColumns({f"{prefix}{c}": F.sum(c).over(local_w) for c in sum_cols})

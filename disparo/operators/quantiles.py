@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from disparo.functions.exprs import quartile_label
-from disparo.operators.lookup import materialize
 from disparo.operators.ordered import running_totals
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -23,12 +22,11 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float] = QUARTILES,
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    weight_col: str | None = None, bounded_rows: int | None = None) -> DataFrame:
+                    weight_col: str | None = None) -> DataFrame:
     """Discrete quantiles of ``value_col`` (NULLs ignored), one row per group.
 
     ``weight_col`` (a non-negative integer count) lets a pre-aggregated table stand for
-    its rows: a row with weight w counts as w copies of its value.  ``bounded_rows`` is a
-    proven bound on the input's rows (see ``running_totals``).
+    its rows: a row with weight w counts as w copies of its value.
     Output: group columns + one column per probability (``names`` or ``q1..qk``); the
     global case gives one row (NULLs when there is no value).
     """
@@ -38,12 +36,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float] = QUAR
                 .groupBy(*keys, value_col)
                 .agg((F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)).cast("bigint").alias("__n"))
                 .where(F.col("__n") > 0))
-    if bounded_rows is None:
-        # One scan of the input: the distinct-value table is written once (also cutting
-        # its lineage) and its exact size picks the ranking path.
-        counts = materialize(counts)
-        bounded_rows = counts.count()
-    ranked = running_totals(counts, value_col, ["__n"], keys, bounded_rows=bounded_rows, with_totals=True)
+    ranked = running_totals(counts, value_col, ["__n"], keys, with_totals=True)
     # Exactly one row per (group, probability) crosses the rank ceil(p * n).
     probe = ranked.withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     target = F.greatest(F.ceil(F.col("__p") * F.col("tot___n")), F.lit(1))

@@ -24,16 +24,9 @@ BASELINE_B = "household"
 NAME_SUFFIX = " County, North Carolina"
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a DataFrame; one per session and file, so repeated queries do
-    not list the file and read its footer again."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _TABLES[key]
+    """The driver table as a DataFrame."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _mod(c, m):
@@ -78,24 +71,28 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_facts(spark: SparkSession, sf_dir: str, with_part: bool = False,
-                with_supplier: bool = False) -> DataFrame:
+                with_supplier: bool = False, with_place: bool = True) -> DataFrame:
     """Adapter B: typed labelled facts; ``grp`` is the group (baseline ``household``),
-    ``label`` the outcome, ``pred`` a 0/1 prediction and ``score`` a tied score."""
+    ``label`` the outcome, ``pred`` a 0/1 prediction and ``score`` a tied score.
+    Without ``with_place`` the facts come without place, group and sex, and without the
+    joins to orders, customer and nation that only those need (every line has an order)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_discount", "l_returnflag", "l_shipdate")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, F.col("o_custkey") == F.col("c_custkey"))
-           .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+    j, place = li, []
+    if with_place:
+        o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+        n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        j = (li.join(o, li.l_orderkey == o.o_orderkey)
+               .join(c, F.col("o_custkey") == F.col("c_custkey"))
+               .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+        place = [F.lower("n_name").alias("county_name_norm"),
+                 F.lower("c_mktsegment").alias("grp"),
+                 F.when(F.col("c_custkey") % 2 == 0, F.lit("m")).otherwise(F.lit("f")).alias("sex")]
     cols = [
-        F.col("l_orderkey"), F.col("l_linenumber"),
-        F.lower("n_name").alias("county_name_norm"),
+        F.col("l_orderkey"), F.col("l_linenumber"), *place,
         F.year("l_shipdate").alias("year"),
-        F.lower("c_mktsegment").alias("grp"),
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("m")).otherwise(F.lit("f")).alias("sex"),
         F.when(F.col("l_returnflag") == "R", F.lit(1)).otherwise(F.lit(0)).alias("label"),
         F.when(F.col("l_discount") >= 0.05, F.lit(1)).otherwise(F.lit(0)).alias("pred"),
         F.col("l_discount").alias("score"),

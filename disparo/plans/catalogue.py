@@ -24,7 +24,7 @@ from disparo.operators.fairness import (COUNT_COLS, bucket_metrics, fairness_by,
                                         fairness_grouping_sets, rates_by_bucket)
 from disparo.operators.flags import add_labels_flags
 from disparo.operators.impute import median_impute
-from disparo.operators.lookup import materialize
+from disparo.operators.lookup import store_table
 from disparo.operators.model import fit_variant, score
 from disparo.operators.ranking import ranking_metrics
 from disparo.operators.refdata import attach_reference
@@ -127,11 +127,11 @@ def q_cohort_filter(spark, d):
 
 
 def q_distinct_years(spark, d):
-    return distinct_values(adapters.typed_facts(spark, d), "year")
+    return distinct_values(adapters.typed_facts(spark, d, with_place=False), "year")
 
 
 def q_frequency_encode(spark, d):
-    b = adapters.typed_facts(spark, d, with_supplier=True)
+    b = adapters.typed_facts(spark, d, with_supplier=True, with_place=False)
     return frequency_encode(b, "department_name", "dept_freq").select(
         "l_orderkey", "l_linenumber", "department_name", "dept_freq")
 
@@ -204,7 +204,7 @@ def q_hash_split(spark, d):
 
 
 def q_class_weights(spark, d):
-    return class_counts(adapters.typed_facts(spark, d), "label")
+    return class_counts(adapters.typed_facts(spark, d, with_place=False), "label")
 
 
 def q_fairness_by_group(spark, d):
@@ -238,21 +238,21 @@ def q_audit_report(spark, d):
 
 
 def q_auroc_score(spark, d):
-    return ranking_metrics(adapters.typed_facts(spark, d), "score", "label").select(_r6("auroc"))
+    return ranking_metrics(adapters.typed_facts(spark, d, with_place=False), "score", "label").select(_r6("auroc"))
 
 
 def q_aupr_score(spark, d):
-    return ranking_metrics(adapters.typed_facts(spark, d), "score", "label").select(_r6("aupr"))
+    return ranking_metrics(adapters.typed_facts(spark, d, with_place=False), "score", "label").select(_r6("aupr"))
 
 
 def q_category_index(spark, d):
-    b = adapters.typed_facts(spark, d, with_part=True)
+    b = adapters.typed_facts(spark, d, with_part=True, with_place=False)
     m = StringIndexer(inputCol="p_type", outputCol="p_type_idx", handleInvalid="keep").fit(b)
     return m.transform(b).select("p_type", "p_type_idx").distinct()
 
 
 def q_one_hot(spark, d):
-    b = adapters.typed_facts(spark, d, with_part=True)
+    b = adapters.typed_facts(spark, d, with_part=True, with_place=False)
     idx = StringIndexer(inputCol="p_type", outputCol="p_type_idx", handleInvalid="keep").fit(b).transform(b)
     oh = OneHotEncoder(inputCols=["p_type_idx"], outputCols=["p_type_oh"]).fit(idx).transform(idx)
     arr = vector_to_array("p_type_oh")
@@ -267,7 +267,7 @@ def q_impute_median(spark, d):
 
 
 def q_std_scale(spark, d):
-    b = adapters.typed_facts(spark, d)
+    b = adapters.typed_facts(spark, d, with_place=False)
     v = VectorAssembler(inputCols=["l_quantity", "score"], outputCol="raw").transform(b)
     s = StandardScaler(inputCol="raw", outputCol="scaled", withStd=True, withMean=False).fit(v).transform(v)
     arr = vector_to_array("scaled")
@@ -331,7 +331,7 @@ def q_stream_enrich(spark, d):
 # ------------------------------------------------------------------ rows-only (random / models)
 
 def _cohort_a(spark, d):
-    return materialize(_enriched(spark, d).where(F.col("time_available") == 1))
+    return store_table(_enriched(spark, d).where(F.col("time_available") == 1), "cohort")
 
 
 def q_sample(spark, d):

@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disparo.config import PARITY, STRICT, EventConfig
-from disparo.operators.encode import class_counts
-from disparo.operators.lookup import materialize
+from disparo.operators.lookup import store_table
 from disparo.operators.model import score
 from disparo.plans.jobs import build_enriched, cohort, run_label_audit, ses_buckets, train_evaluate
 from disparo.sources.payload import reference_from_payloads
@@ -40,7 +39,7 @@ def run_pipeline(spark: SparkSession, raw_path: str, enriched_path: str, out_bas
         (lambda: reference_from_payloads(spark, payload_dir)) if payload_dir else None, cfg)
     buckets = ses_buckets(cohort(enriched, sample_fraction, cfg.seed), cfg, relative_error)
     # The bucketed cohort feeds every fit; write it once so the fits start from a short lineage.
-    df = materialize(buckets.df)
+    df = store_table(buckets.df, "cohort")
     _write_breaks(spark, buckets.income_breaks, buckets.share_breaks, f"{out}/metrics/breaks")
     runs = {}
     for label in cfg.labels:
@@ -48,8 +47,7 @@ def run_pipeline(spark: SparkSession, raw_path: str, enriched_path: str, out_bas
             log.warning("label %s missing; skipped", label)
             continue
         run = train_evaluate(df, label, cfg, out_base=out, run_gbt=run_gbt)
-        write_json_metrics(class_counts(df.where(F.col(label).isNotNull()), label),
-                           f"{out}/{label}/metrics/class_counts")
+        write_json_metrics(spark.createDataFrame([run.counts]), f"{out}/{label}/metrics/class_counts")
         try:
             scored = score(run.models["LR_T1"], df.where(F.col(label).isNotNull()))
             write_json_metrics(run_label_audit(scored, label, cfg), f"{out}/{label}/metrics/demographics")

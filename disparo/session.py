@@ -58,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="disparo-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -99,3 +99,16 @@ def test_ansi_safe(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     df = clip_age(one_col(spark, "subject_age", ["abc", "15.5"]))
     assert df.where(F.col("subject_age").isNotNull()).count() == 0
+
+
+def test_parity_int_reads_like_the_cast(spark):
+    from disparo.functions.exprs import parity_int
+    texts = ["17", "\t17", " 17 ", "17.9", ".5", "-.5", "+", ".", "1e2", "", "99999999999", "-3", "+4", "1 7", None]
+    want = [17, 17, 17, 17, 0, 0, None, 0, None, None, None, -3, 4, None, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(parity_int("t")).collect()] == want
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert [r[0] for r in df.orderBy("i").select(F.col("t").cast("int")).collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

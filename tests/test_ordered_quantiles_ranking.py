@@ -87,29 +87,32 @@ def test_ranking_metrics_one_class(spark):
     assert m["auroc"] is None and m["n_neg"] == 0
 
 
-def test_single_pass_equals_sliced(spark):
+def test_weighted_quantiles(spark):
     rnd = random.Random(5)
     rows = [(g, float(rnd.randint(0, 300)), rnd.randint(0, 4)) for g in ("a", "b") for _ in range(500)]
     df = spark.createDataFrame(rows, "g string, v double, w int")
     a = {tuple(r) for r in exact_quantiles(df, "v", group_cols=["g"], weight_col="w").collect()}
-    b = {tuple(r) for r in exact_quantiles(df, "v", group_cols=["g"], weight_col="w", bounded_rows=1000).collect()}
-    assert a == b
     for g in ("a", "b"):
         vals = [v for k, v, w in rows if k == g for _ in range(w)]
         assert (g, *[brute_disc(vals, p) for p in (0.25, 0.5, 0.75)]) in a
 
 
-def test_sliced_path_forced(spark, monkeypatch):
-    """With the single-window bound at 0 every input takes the range-sliced path."""
-    import disparo.operators.ordered as ordered
-    rows = [("hot", float(i % 50)) for i in range(3000)] + [(f"g{i % 20}", float(i)) for i in range(6000)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    fast = {tuple(r) for r in exact_quantiles(df, "v", group_cols=["g"]).collect()}
-    monkeypatch.setattr(ordered, "SINGLE_PASS_MAX_ROWS", 0)
-    sliced = {tuple(r) for r in exact_quantiles(df, "v", group_cols=["g"]).collect()}
-    assert fast == sliced
+def test_many_slices_without_exchange_reuse(spark):
+    """Sixteen real slices, an extra column, no coalescing and no exchange reuse; the area is
+    selected alone, so column pruning cannot keep two branches alike."""
     rnd = random.Random(11)
-    pts = [(round(rnd.random(), 2), int(rnd.random() < 0.4)) for _ in range(2000)]
-    sdf = spark.createDataFrame(pts, "score double, label int")
-    m = ranking_metrics(sdf, "score", "label").first()
-    assert m["auroc"] == pytest.approx(brute_auc(*zip(*pts)), abs=1e-12)
+    pts = [(rnd.random(), int(rnd.random() < 0.4)) for _ in range(3000)]
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.exchange.reuse": "false",
+            "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        sdf = spark.createDataFrame(pts, "score double, label int")
+        assert ranking_metrics(sdf, "score", "label").select("auroc").first()[0] == pytest.approx(brute_auc(*zip(*pts)), abs=1e-12)
+        df = spark.createDataFrame([(x, 1, f"x{x}") for x in range(5000)], "x int, w int, extra string")
+        rows = running_totals(df, "x", ["w"], num_slices=16).collect()
+        assert len(rows) == 5000 and all(r["cum_w"] == r["x"] + 1 and r["extra"] == f"x{r['x']}" for r in rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

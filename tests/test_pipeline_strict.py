@@ -46,6 +46,9 @@ def test_pipeline_end_to_end(spark, tmp_dir):
         for part in ("models/LR_T0", "models/LR_T1", "metrics/json", "metrics/fairness",
                      "metrics/class_counts", "metrics/demographics"):
             assert os.path.exists(f"{out}/{label}/{part}"), part
+        counts = spark.read.json(f"{out}/{label}/metrics/class_counts").first()
+        run = res["runs"][label].counts
+        assert (counts["pos"], counts["neg"], counts["w_pos"]) == (run["pos"], run["neg"], run["w_pos"])
     assert res["share_breaks"] is not None
     # the second run reads the enriched table instead of rebuilding it
     again = run_pipeline(spark, f"{tmp_dir}/missing-raw", f"{tmp_dir}/enriched", f"{tmp_dir}/out", None,
