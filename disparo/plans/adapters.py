@@ -35,7 +35,8 @@ def _mod(c, m):
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter A: one raw text record per event, with planted quirks (NULLs, ``NA``,
-    ``nan``, padded and comma-suffixed place names, fractional ages, empty text)."""
+    ``nan``, padded and comma-suffixed place names, fractional ages, empty text); dates are
+    moved back by whole years so that they span the reference years."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -43,9 +44,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
     k = F.get_json_object("props", "$.k").try_cast("int")
     n_name = F.col("n_name")
+    # Nine years, 1994 to 2002 for events of 2024: below, inside and above the reference years.
+    event_date = F.add_months(F.to_date("ts"), (-12 * (22 + F.col("event_id") % 9)).cast("int"))
     return j.select(
         F.col("event_id"),
-        F.when(_mod("event_id", 101), F.lit(None)).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("date"),
+        F.when(_mod("event_id", 101), F.lit(None)).otherwise(F.date_format(event_date, "yyyy-MM-dd")).alias("date"),
         F.when(_mod("event_id", 17), F.lit(None)).when(_mod("event_id", 53), F.lit("NA"))
          .otherwise(F.date_format("ts", "HH:mm:ss")).alias("time"),
         F.when(_mod("event_id", 41), F.lit(None)).when(_mod("event_id", 37), F.lit("nan"))

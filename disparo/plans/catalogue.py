@@ -42,7 +42,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Role mapping for the typed facts (adapter B).
 CFG_B = EventConfig(group_column="grp", sex_column="sex", baseline_group="household",
                     floor_year=adapters.REF_FLOOR_YEAR)
-CFG_A = EventConfig()
+CFG_A = EventConfig(baseline_group="household", floor_year=adapters.REF_FLOOR_YEAR)
 ENRICHED_COLUMNS = (
     "event_id", "date", "time", "county_name", "subject_race", "subject_sex", "subject_age",
     "department_name", "type", "outcome", "reason_for_stop", "location", "citation_issued",
@@ -245,6 +245,13 @@ def q_aupr_score(spark, d):
     return ranking_metrics(adapters.typed_facts(spark, d, with_place=False), "score", "label").select(_r6("aupr"))
 
 
+def q_rank_unique_score(spark, d):
+    """Both areas over a score with almost no ties, so the ranking runs over many slices."""
+    o = adapters.table(spark, d, "orders").select(
+        F.col("o_totalprice").alias("score"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("label"))
+    return ranking_metrics(o, "score", "label").select(_r6("auroc"), _r6("aupr"))
+
+
 def q_category_index(spark, d):
     b = adapters.typed_facts(spark, d, with_part=True, with_place=False)
     m = StringIndexer(inputCol="p_type", outputCol="p_type_idx", handleInvalid="keep").fit(b)
@@ -420,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "rates_by_share_group": q_rates_by_share_group,
     "audit_report": q_audit_report,
     "auroc_score": q_auroc_score,
+    "rank_unique_score": q_rank_unique_score,
     "aupr_score": q_aupr_score,
     "category_index": q_category_index,
     "one_hot": q_one_hot,

@@ -12,7 +12,8 @@ K = "TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER)"
 
 A = f"""a AS (
   SELECT e.event_id,
-    CASE WHEN e.event_id % 101 = 0 THEN NULL ELSE strftime(e.ts, '%Y-%m-%d') END AS date,
+    CASE WHEN e.event_id % 101 = 0 THEN NULL ELSE strftime(CAST(e.ts AS DATE)
+         - to_years(CAST(22 + e.event_id % 9 AS INTEGER)), '%Y-%m-%d') END AS date,
     CASE WHEN e.event_id % 17 = 0 THEN NULL WHEN e.event_id % 53 = 0 THEN 'NA'
          ELSE strftime(e.ts, '%H:%M:%S') END AS time,
     CASE WHEN e.event_id % 41 = 0 THEN NULL WHEN e.event_id % 37 = 0 THEN 'nan'
@@ -168,7 +169,7 @@ freq AS (SELECT department_name, count(*) AS dept_freq FROM a_flags GROUP BY dep
 a_freq AS (SELECT * FROM a_flags LEFT JOIN freq USING (department_name)),
 {R},
 a_enriched AS (
-  SELECT * FROM (SELECT *, CASE WHEN year < 2009 THEN 2009 ELSE year END AS acs_year FROM a_freq)
+  SELECT * FROM (SELECT *, CASE WHEN year < 1997 THEN 1997 ELSE year END AS acs_year FROM a_freq)
   LEFT JOIN r USING (county_name_norm, acs_year))"""
 ENRICH_SELECT = """SELECT event_id, CAST(date AS VARCHAR) AS date, time, county_name, subject_race,
   subject_sex, subject_age, department_name, type, outcome, reason_for_stop, location,
@@ -321,6 +322,15 @@ ORACLE: dict[str, str] = {
           + CASE WHEN pp + pn = 0 THEN CAST(cp AS DOUBLE) / (cp + cn) ELSE CAST(pp AS DOUBLE) / (pp + pn) END))
         / (CAST(2 AS DOUBLE) * any_value(tot.P)), 6) AS aupr FROM pts, tot""",
 
+    "rank_unique_score": w("""b AS (SELECT o_totalprice AS score,
+        CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label FROM orders)""", CURVE) + """SELECT
+        round(sum(CAST(neg AS DOUBLE) * (cp + pp))
+          / (CAST(2 AS DOUBLE) * any_value(tot.P) * any_value(tot.N)), 6) AS auroc,
+        round(sum(CAST(pos AS DOUBLE) * (
+          CAST(cp AS DOUBLE) / (cp + cn)
+          + CASE WHEN pp + pn = 0 THEN CAST(cp AS DOUBLE) / (cp + cn) ELSE CAST(pp AS DOUBLE) / (pp + pn) END))
+          / (CAST(2 AS DOUBLE) * any_value(tot.P)), 6) AS aupr FROM pts, tot""",
+
     "category_index": w(_b(part=True)) + """SELECT p_type,
         CAST(row_number() OVER (ORDER BY cnt DESC, p_type) - 1 AS DOUBLE) AS p_type_idx
         FROM (SELECT p_type, count(*) AS cnt FROM b GROUP BY p_type)""",
