@@ -6,14 +6,15 @@ tags) it takes, and which contents its text takes.  Importance follows the two e
 
 * presentation: ``-sum p log_m p`` over a node's presentations on its m pages (1 for one page);
 * content: ``1 - avg H(a)`` with ``H(a) = log_m k`` for a text that k of the m pages carry;
-* a branch: ``(1 - g^l) own + g^l sum p child`` with ``g = 0.9``, bottom up; text leaves have their
-  content importance.
+* a branch: ``(1 - g^l) own + g^l sum p child`` with ``g = 0.9`` and ``l`` presentations, bottom up;
+  text leaves have their content importance.
 
-Branches below ``LEAST`` on hosts of ``MIN_PAGES`` pages or more are removed from every page, and so
-are texts that most of a host's pages repeat.  Two priors hold where a host has few pages:
-elements that say they are navigation, notice, advert, form, comment and the like have no
-importance, and inside an article or main element nothing is removed for being repeated; a
-page with such an element gives only its text.
+Branches on ``MIN_PAGES`` pages or more that are below ``LEAST`` with all that lies in them are
+removed from every page, and so are texts that most of the pages with their node repeat.  Two
+priors hold beside that: elements that say they are navigation, notice, advert, form, comment and
+the like have no importance, and a page with an article or main element gives only its text.
+Inside such an element low branches and repeated texts go too, but a text only if ``MIN_PAGES``
+pages have it.
 
 Scale: pages are parsed once and stored as blocks; the style tree is built by grouped sums over
 (host, path) and (host, path, text hash), pre-aggregated, so a hot host is no single task; the
@@ -196,6 +197,7 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
         if r.parent in rows and r.parent != r.path:
             kids.setdefault(r.parent, []).append(r.path)
     value: dict[int, float] = {}
+    most: dict[int, float] = {}  # within the branch
     todo = [(p, False) for p, r in rows.items() if r.parent not in rows or r.parent == p]
     while todo:
         path, ready = todo.pop()
@@ -211,7 +213,8 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(n for n, _ in below)
         inner = sum(n * v for n, v in below) / total if total else 0.0
         value[path] = (1 - share) * float(own.shape_entropy) + share * inner if below else 0.0
-    low = [p for p, v in value.items() if v < LEAST and rows[p].pages >= MIN_PAGES]
+        most[path] = max([value[path], *(most[k] for k in kids.get(path, ())), 0.0 if pd.isna(own.content) else float(own.content)])
+    low = [p for p, v in most.items() if v < LEAST and rows[p].pages >= MIN_PAGES]
     return pd.DataFrame({"host": pdf["host"].iloc[:1], "low": [low]})
 
 
@@ -219,21 +222,22 @@ def style_verdicts(parsed: DataFrame) -> DataFrame:
     """One row per host with something to remove: ``low`` paths, ``repeated`` text hashes (as
     hash(path, text))."""
     style = parsed.select("host", F.explode("styles").alias("s")).select("host", "s.*")
-    shapes = style.groupBy("host", "path", "parent", "shape").agg(F.count(F.lit(1)).alias("k"), F.max("size").alias("size"))
+    shapes = style.groupBy("host", "path", "parent", "shape").agg(F.count(F.lit(1)).alias("k"))
     nodes = shapes.groupBy("host", "path").agg(
-        F.first("parent").alias("parent"), F.sum("k").alias("pages"), F.avg("size").alias("size"),
+        F.first("parent").alias("parent"), F.sum("k").alias("pages"), F.count(F.lit(1)).alias("size"),
         F.sum(F.col("k") * F.log(F.col("k"))).alias("klogk"))
     m = F.col("pages")
     nodes = nodes.withColumn("shape_entropy", F.when(m == 1, 1.0).otherwise((F.log(m) - F.col("klogk") / m) / F.log(m)))
-    texts = (parsed.select(F.monotonically_increasing_id().alias("row"), "host", F.explode("blocks").alias("b"))
-                   .select("row", "host", F.element_at("b.path", -1).alias("path"), "b.content").distinct())
-    items = texts.groupBy("host", "path", "content").agg(F.count(F.lit(1)).alias("k"))
+    texts = (parsed.select("row", "host", F.explode("blocks").alias("b"))
+                   .select("row", "host", F.element_at("b.path", -1).alias("path"), "b.content", "b.landmark").distinct())
+    items = texts.groupBy("host", "path", "content").agg(F.countDistinct("row").alias("k"), F.bool_or("landmark").alias("inside"))
     items = stored(items.join(nodes.select("host", "path", "pages"), ["host", "path"]), "style-texts")
     content = items.groupBy("host", "path").agg(
         (1 - F.avg(F.when(F.col("pages") > 1, F.log("k") / F.log("pages")).otherwise(0.0))).alias("content"))
     tree = nodes.join(content, ["host", "path"], "left").select("host", "path", "parent", "pages", "size", "shape_entropy", "content")
     low = tree.groupBy("host").applyInPandas(_compose, "host string, low array<long>")
-    repeated = (items.where((F.col("pages") >= MIN_PAGES) & (F.col("k") > F.col("pages") * REPEATED) & (F.col("k") > 1))
+    repeated = (items.where((F.col("pages") >= MIN_PAGES) & (F.col("k") > F.col("pages") * REPEATED)
+                            & (F.col("k") >= F.when(F.col("inside"), MIN_PAGES).otherwise(2)))
                      .groupBy("host").agg(F.collect_set(F.xxhash64("path", "content")).alias("repeated")))
     both = low.join(repeated, "host", "full_outer")
     return both.where("size(low) > 0 or size(repeated) > 0")
@@ -243,14 +247,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """One row per page row: id, ``url``, ``text``, ``n_chars``, ``n_blocks`` (blocks in the page)."""
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kind = src.schema[0].dataType.simpleString()
-    parsed = stored(src.mapInArrow(_parse, f"id {kind}, url string, {_PARSED}"), "style-pages")
+    parsed = src.mapInArrow(_parse, f"id {kind}, url string, {_PARSED}").withColumn("row", F.monotonically_increasing_id())
+    parsed = stored(parsed, "style-pages")
     verdicts = stored(style_verdicts(parsed), "style-verdicts")
     marked = parsed.drop("styles").join(verdicts, "host", "left")
     some = F.exists("blocks", lambda b: b["landmark"] & ~b["noise"])
     empty = F.array().cast("array<long>")
-    kept = F.filter("blocks", lambda b: ~b["noise"] & F.when(F.col("some"), b["landmark"]).otherwise(
-        ~F.arrays_overlap(b["path"], F.coalesce("low", empty))
-        & ~F.array_contains(F.coalesce("repeated", empty), F.xxhash64(F.element_at(b["path"], -1), b["content"]))))
+    kept = F.filter("blocks", lambda b: ~b["noise"] & (b["landmark"] | ~F.col("some"))
+                    & ~F.arrays_overlap(b["path"], F.coalesce("low", empty))
+                    & ~F.array_contains(F.coalesce("repeated", empty), F.xxhash64(F.element_at(b["path"], -1), b["content"])))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return marked.withColumn("some", some).select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"), F.size("blocks").alias("n_blocks")).select(

@@ -147,6 +147,30 @@ def test_html_site_tree(spark):
     assert all(got[i].text == f"Own {i}" for i in range(8)) and got[90].text == got[91].text == "" and got[3].n_chars == 5
 
 
+def page_texts(spark, pages):
+    ship_package(spark)
+    frame = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in html_extract.main_text(frame).orderBy("page_id").collect()]
+
+
+def test_html_verdicts_hold_inside_landmarks(spark):
+    site = [("http://h.example/", f"<body><nav>N</nav><article><h1>T {i}</h1><p>Own {i}</p><div class=box><b>Read our app</b></div>"
+             f"<p>Like us</p><p>More {i}</p></article></body>") for i in range(6)]
+    few = [("http://few.example/", f"<body><main><p>Both</p><p>Own {i}</p></main></body>") for i in (0, 0, 1)]
+    got = page_texts(spark, site + few)
+    assert got[:6] == [f"T {i}\nOwn {i}\nMore {i}" for i in range(6)]
+    assert got[8] == "Own 1" and got[6] == got[7]
+    one = [("http://one.example/", f"<body><article><p>Own {i}</p>" + "<p>Refrain</p>" * (5 if i == 0 else 0)) for i in range(4)]
+    assert page_texts(spark, one)[0] == "\n".join(["Own 0"] + ["Refrain"] * 5)
+
+
+def test_html_branch_with_text_of_its_own_is_no_boilerplate(spark):
+    """A body of many fixed parts and one article: its importance is low, the article's is not."""
+    parts = "".join(f"<div class=c{j}>Part {j}</div>" for j in range(12))
+    site = [("http://h.example/", f"<body>{parts}<article><p>Own {i}</p></article></body>") for i in range(5)]
+    assert page_texts(spark, site) == [f"Own {i}" for i in range(5)]
+
+
 def test_empty_tables(docs):
     none = docs.limit(0)
     assert exact_dedup.duplicate_report(none).count() == 0
