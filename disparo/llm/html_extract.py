@@ -43,7 +43,6 @@ LEAST = 0.2
 REPEATED = 0.5
 MIN_PAGES = 3
 GAMMA = 0.9
-MAX_DEPTH = 256
 
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,10 +61,14 @@ CLOSES_P = BLOCKS - frozenset("html body".split())
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
                "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPES = frozenset("table ul ol dl select".split())
+HEAD_CONTENT = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+NESTED = frozenset("svg math template".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_RAW_TAG = {t: re.compile(rf"<(/?){t}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I) if t in NESTED else re.compile(rf"<(/){t}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
+            for t in RAW}
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _HOST = re.compile(r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/:?#]*)")
 
@@ -76,46 +79,67 @@ def host_of(url: str | None) -> str:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "noise", "landmark", "children")
+    __slots__ = ("tag", "node", "noise", "landmark", "block", "shut")
 
-    def __init__(self, tag, path, noise, landmark):
-        self.tag, self.path, self.noise, self.landmark, self.children = tag, path, noise, landmark, []
+    def __init__(self, tag, node, noise, landmark, block, shut):
+        self.tag, self.node, self.noise, self.landmark, self.block, self.shut = tag, node, noise, landmark, block, shut
 
 
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def _raw_end(page: str, tag: str, at: int) -> int:
+    """Where the element's raw text that begins at ``at`` and its end tag end; elements that can lie
+    in themselves are counted."""
+    depth = 1
+    for m in _RAW_TAG[tag].finditer(page, at):
+        if m.group(1):
+            depth -= 1
+        elif tag in NESTED:
+            depth += not m.group().endswith("/>")
+        if not depth:
+            return m.end()
+    return len(page)
+
+
 def parse(page: str | None) -> tuple[list[dict], list[dict]]:
-    """(blocks, styles) of a page.  A block is the text of one block-level element between its
-    block-level children: path hashes from the root down, text with character references decoded
-    and white space made one, whether it lies in noise or in a landmark."""
-    root = _Element("#root", "", False, False)
-    stack, blocks, parts = [root], [], []
-    seen: dict[str, _Element] = {}
+    """(blocks, nodes) of a page.  ``nodes`` are the elements and texts in document order: ``parent``
+    (an index, -1 at the top), ``label`` (NULL for a text) and whether it is a block-level element.
+    A block is the text of one block-level element between its block-level children: ``node`` (the
+    index of its text node), text with character references decoded and white space made one,
+    whether it lies in noise or in a landmark."""
+    page = page or ""
+    root = _Element("#root", -1, False, False, 0, 0)
+    stack, blocks, nodes, parts = [root], [], [], []
+    open_tags: dict[str, int] = {}
 
     def flush():
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            own = [e for e in stack if e.tag in BLOCKS]
-            blocks.append({"path": [_hash(e.path) for e in own], "text": text, "content": _hash(text),
-                           "noise": any(e.noise for e in stack), "landmark": any(e.landmark for e in stack)})
-            (own[-1] if own else root).children.append("#text")
+            top = stack[-1]
+            blocks.append({"node": len(nodes), "text": text, "content": _hash(text), "noise": top.noise, "landmark": top.landmark})
+            nodes.append({"parent": stack[top.block].node, "label": None, "block": False})
 
     def close_to(i):
-        if any(e.tag in BLOCKS for e in stack[i:]):
+        if stack[-1].block >= i:
             flush()
+        for e in stack[i:]:
+            open_tags[e.tag] -= 1
         del stack[i:]
 
-    raw = None
-    for m in _TOKEN.finditer(page or ""):
-        token = m.group()
-        if raw is not None:
-            if token.startswith("</") and token[2:2 + len(raw)].lower() == raw:
-                raw = None
-            continue
+    def close_head():
+        if stack[-1].tag == "head":
+            close_to(len(stack) - 1)
+
+    at, end = 0, len(page)
+    while at < end:
+        m = _TOKEN.match(page, at)
+        at, token = m.end(), m.group()
         if token[0] != "<" or len(token) == 1:
+            if not token.isspace():
+                close_head()
             parts.append(token)
             continue
         if token[1] in "!?":
@@ -124,26 +148,25 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
         if token[1] == "/":
             if tag == "br":
                 parts.append(" ")
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close_to(i)
-                    break
+            if open_tags.get(tag):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag == tag:
+                        close_to(i)
+                        break
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close_to(i)
-                    break
-                if stack[i].tag in BLOCKS:
-                    break
+        if tag not in HEAD_CONTENT:
+            close_head()
+        if tag in CLOSES_P and stack[stack[-1].block].tag == "p":
+            close_to(stack[-1].block)
         if tag in SAME_CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
+            i = len(stack) - 1
+            while i > stack[-1].shut and any(open_tags.get(t) for t in SAME_CLOSES[tag]):
                 if stack[i].tag in SAME_CLOSES[tag]:
                     close_to(i)
-                elif stack[i].tag in SCOPES:
-                    break
+                i -= 1
         if tag in RAW:
-            raw = None if token.endswith("/>") else tag
+            if not token.endswith("/>"):
+                at = _raw_end(page, tag, at)
             continue
         if tag in BLOCKS:
             flush()
@@ -151,29 +174,45 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
             if tag in ("br", "hr", "wbr"):
                 parts.append(" " if tag != "wbr" else "")
             continue
-        if len(stack) >= MAX_DEPTH:
-            continue
         top = stack[-1]
         attrs = {a.group(1).lower(): (a.group(2) or a.group(3) or a.group(4) or "").lower() for a in _ATTR.finditer(token)}
         words = set(_SPLIT.split(" ".join((attrs.get("class", ""), attrs.get("id", "")))))
-        inside = any(e.landmark for e in stack)
         landmark = tag in LANDMARKS or attrs.get("role") in ("main", "article")
-        noise = (tag in NOISE_TAGS or attrs.get("role") in NOISE_ROLES or (tag == "header" and not inside)
+        noise = (tag in NOISE_TAGS or attrs.get("role") in NOISE_ROLES or (tag == "header" and not top.landmark)
                  or (tag not in ("html", "body") and not landmark and bool(words & NOISE_WORDS)))
         label = ".".join([tag, *sorted(attrs.get("class", "").split())]) + ("#" + attrs["id"] if attrs.get("id") else "")
-        own = _Element(tag, f"{top.path}/{label}", noise, landmark and not noise)
-        top.children.append(label)
-        seen.setdefault(own.path, own)
-        stack.append(own)
-    close_to(0)
-    return blocks, [{"path": _hash(e.path), "parent": _hash(p.rpartition("/")[0]), "shape": _hash(" ".join(e.children)),
-                     "size": len(set(e.children))} for p, e in seen.items() if e.tag in BLOCKS]
-
-
-_BLOCK = pa.struct([("path", pa.list_(pa.int64())), ("text", pa.string()), ("content", pa.int64()), ("noise", pa.bool_()), ("landmark", pa.bool_())])
-_STYLE = pa.struct([("path", pa.int64()), ("parent", pa.int64()), ("shape", pa.int64()), ("size", pa.int32())])
-_PARSED = ("host string, blocks array<struct<path:array<long>,text:string,content:long,noise:boolean,landmark:boolean>>, "
-           "styles array<struct<path:long,parent:long,shape:long,size:int>>")
+        nodes.append({"parent": top.node, "label": label, "block": tag in BLOCKS})
+        here = len(stack)
+        stack.append(_Element(tag, len(nodes) - 1, top.noise or noise, top.landmark or (landmark and not noise),
+                              here if tag in BLOCKS else top.block, here if tag in SCOPES else top.shut))
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+    flush()
+    return blocks, nodes
+
+
+def placed(nodes: list[dict]) -> tuple[list[int], list[dict]]:
+    """(the path hash of each node, a text having its element's; one row per path of block-level
+    elements, with its parent path and the sequence of child labels of its first element)."""
+    paths, inner, first = [], {}, {}
+    above = []
+    for i, n in enumerate(nodes):
+        up = n["parent"]
+        inner.setdefault(up, []).append(n["label"] or "#text")
+        over = paths[up] if up >= 0 else 0
+        paths.append(over if n["label"] is None else _hash(f"{over}/{n['label']}"))
+        above.append(up if up < 0 or nodes[up]["block"] else above[up])
+        if n["block"]:
+            first.setdefault(paths[i], i)
+    return paths, [{"path": p, "parent": paths[above[i]] if above[i] >= 0 else 0, "shape": _hash(" ".join(inner.get(i, ())))}
+                   for p, i in first.items()]
+
+
+_BLOCK = pa.struct([("node", pa.int32()), ("text", pa.string()), ("content", pa.int64()), ("noise", pa.bool_()), ("landmark", pa.bool_())])
+_NODE = pa.struct([("parent", pa.int32()), ("label", pa.string()), ("block", pa.bool_())])
+_PARSED = ("host string, blocks array<struct<node:int,text:string,content:long,noise:boolean,landmark:boolean>>, "
+           "nodes array<struct<parent:int,label:string,block:boolean>>")
+_STYLES = pa.list_(pa.struct([("path", pa.int64()), ("parent", pa.int64()), ("shape", pa.int64())]))
+_TEXTS = pa.list_(pa.struct([("path", pa.int64()), ("content", pa.int64()), ("landmark", pa.bool_())]))
 
 
 def _parse(batches):
@@ -184,7 +223,40 @@ def _parse(batches):
             got = [parse(p) for p in pages]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array([host_of(u) for u in urls]), pa.array([g[0] for g in got], pa.list_(_BLOCK)),
-                 pa.array([g[1] for g in got], pa.list_(_STYLE))], ["id", "url", "host", "blocks", "styles"])
+                 pa.array([g[1] for g in got], pa.list_(_NODE))], ["id", "url", "host", "blocks", "nodes"])
+
+
+def _place(batches):
+    """(row, host, nodes, blocks without text) -> the page's styles and texts."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 200):
+            part = batch.slice(a, 200)
+            styles, texts = [], []
+            for nodes, blocks in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+                paths, rows = placed(nodes)
+                styles.append(rows)
+                texts.append([{"path": paths[b["node"]], "content": b["content"], "landmark": b["landmark"]} for b in blocks])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(styles, _STYLES), pa.array(texts, _TEXTS)],
+                                             ["row", "host", "styles", "texts"])
+
+
+def _keep(batches):
+    """(id, url, blocks, nodes, low, repeated) -> the text that is left of each page."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 200):
+            part = batch.slice(a, 200)
+            texts, sizes = [], []
+            for blocks, nodes, low, repeated in zip(*(part.column(i).to_pylist() for i in range(2, 6))):
+                low, repeated = frozenset(low or ()), frozenset((r["path"], r["content"]) for r in repeated or ())
+                paths, gone = (placed(nodes)[0], []) if low or repeated else ([0] * len(nodes), [])
+                for p, n in zip(paths, nodes):
+                    gone.append(p in low or (n["parent"] >= 0 and gone[n["parent"]]))
+                some = any(b["landmark"] and not b["noise"] for b in blocks)
+                texts.append("\n".join([b["text"] for b in blocks if not b["noise"] and (b["landmark"] or not some) and not gone[b["node"]]
+                                        and (paths[b["node"]], b["content"]) not in repeated]))
+                sizes.append(len(blocks))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(sizes, pa.int32())],
+                                             ["id", "url", "text", "n_blocks"])
 
 
 # ---------------------------------------------------------------- the style tree
@@ -219,26 +291,29 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def style_verdicts(parsed: DataFrame) -> DataFrame:
-    """One row per host with something to remove: ``low`` paths, ``repeated`` text hashes (as
-    hash(path, text))."""
-    style = parsed.select("host", F.explode("styles").alias("s")).select("host", "s.*")
+    """One row per host with something to remove: ``low`` paths, ``repeated`` texts (path and
+    text hash)."""
+    slim = parsed.select("row", "host", "nodes", F.transform("blocks", lambda b: F.struct(b["node"], b["content"], b["landmark"])).alias("blocks"))
+    tree = slim.mapInArrow(_place, "row long, host string, styles array<struct<path:long,parent:long,shape:long>>, "
+                                   "texts array<struct<path:long,content:long,landmark:boolean>>")
+    tree = stored(tree, "style-rows")
+    style = tree.select("host", F.explode("styles").alias("s")).select("host", "s.*")
     shapes = style.groupBy("host", "path", "parent", "shape").agg(F.count(F.lit(1)).alias("k"))
     nodes = shapes.groupBy("host", "path").agg(
         F.first("parent").alias("parent"), F.sum("k").alias("pages"), F.count(F.lit(1)).alias("size"),
         F.sum(F.col("k") * F.log(F.col("k"))).alias("klogk"))
     m = F.col("pages")
     nodes = nodes.withColumn("shape_entropy", F.when(m == 1, 1.0).otherwise((F.log(m) - F.col("klogk") / m) / F.log(m)))
-    texts = (parsed.select("row", "host", F.explode("blocks").alias("b"))
-                   .select("row", "host", F.element_at("b.path", -1).alias("path"), "b.content", "b.landmark").distinct())
+    texts = tree.select("row", "host", F.explode("texts").alias("t")).select("row", "host", "t.*").distinct()
     items = texts.groupBy("host", "path", "content").agg(F.countDistinct("row").alias("k"), F.bool_or("landmark").alias("inside"))
     items = stored(items.join(nodes.select("host", "path", "pages"), ["host", "path"]), "style-texts")
     content = items.groupBy("host", "path").agg(
         (1 - F.avg(F.when(F.col("pages") > 1, F.log("k") / F.log("pages")).otherwise(0.0))).alias("content"))
-    tree = nodes.join(content, ["host", "path"], "left").select("host", "path", "parent", "pages", "size", "shape_entropy", "content")
-    low = tree.groupBy("host").applyInPandas(_compose, "host string, low array<long>")
+    nodes = nodes.join(content, ["host", "path"], "left").select("host", "path", "parent", "pages", "size", "shape_entropy", "content")
+    low = nodes.groupBy("host").applyInPandas(_compose, "host string, low array<long>")
     repeated = (items.where((F.col("pages") >= MIN_PAGES) & (F.col("k") > F.col("pages") * REPEATED)
                             & (F.col("k") >= F.when(F.col("inside"), MIN_PAGES).otherwise(2)))
-                     .groupBy("host").agg(F.collect_set(F.xxhash64("path", "content")).alias("repeated")))
+                     .groupBy("host").agg(F.collect_set(F.struct("path", "content")).alias("repeated")))
     both = low.join(repeated, "host", "full_outer")
     return both.where("size(low) > 0 or size(repeated) > 0")
 
@@ -250,13 +325,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     parsed = src.mapInArrow(_parse, f"id {kind}, url string, {_PARSED}").withColumn("row", F.monotonically_increasing_id())
     parsed = stored(parsed, "style-pages")
     verdicts = stored(style_verdicts(parsed), "style-verdicts")
-    marked = parsed.drop("styles").join(verdicts, "host", "left")
-    some = F.exists("blocks", lambda b: b["landmark"] & ~b["noise"])
-    empty = F.array().cast("array<long>")
-    kept = F.filter("blocks", lambda b: ~b["noise"] & (b["landmark"] | ~F.col("some"))
-                    & ~F.arrays_overlap(b["path"], F.coalesce("low", empty))
-                    & ~F.array_contains(F.coalesce("repeated", empty), F.xxhash64(F.element_at(b["path"], -1), b["content"])))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    return marked.withColumn("some", some).select(
-        F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"), F.size("blocks").alias("n_blocks")).select(
-        id_col, url_col, "text", F.char_length("text").cast("long").alias("n_chars"), "n_blocks")
+    marked = parsed.join(verdicts, "host", "left").select("id", "url", "blocks", "nodes", "low", "repeated")
+    out = marked.mapInArrow(_keep, f"id {kind}, url string, text string, n_blocks int")
+    return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
+                      F.char_length("text").cast("long").alias("n_chars"), "n_blocks")

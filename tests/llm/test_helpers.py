@@ -164,3 +164,20 @@ def test_html_blocks():
     assert {b["text"] for b in blocks if b["noise"]} == {"x", "buy", "bad", "f"} and styles
     assert html_extract.parse(None) == ([], []) and html_extract.parse("<p <b")[0] is not None
     assert html_extract.host_of("http://u@A.example:80/x") == "a.example" and html_extract.host_of(None) == ""
+
+
+def test_html_raw_text_open_head_and_depth():
+    def texts(page):
+        return [b["text"] for b in html_extract.parse(page)[0] if b["landmark"] and not b["noise"]]
+
+    script = "<script>for(i=0;i<n;i++){} a='<!--';</SCRIPT ><title>a <b</title><svg><svg></svg>x</svg><template><template></template>y</template>"
+    assert texts(f"<body>{script}<article><p>One</p>{script}<p>Two</p></article>") == ["One", "Two"]
+    assert texts("<article><p>One</p><script>if (a<b) '</scripts>'") == ["One"]
+    for head in ("<head><title>t</title><meta charset=x><body>", "<head><title>t</title>", "<head>\n<script>x</script>\n"):
+        assert texts(f"<html>{head}<main><p>One</p></main>") == ["One"]
+    assert [b["noise"] for b in html_extract.parse("<head><title>t</title>Plain text")[0]] == [False]
+    for n in (300, 20_000):
+        page = "<article><p>One</p>" + "<div>" * n + "deep" + "</div>" * n + "<p>Two</p></article>"
+        assert texts(page) == ["One", "deep", "Two"]
+        paths, styles = html_extract.placed(html_extract.parse(page)[1])
+        assert len(set(paths)) == len(styles) == n + 2
