@@ -1,7 +1,7 @@
 """HTML extraction by a site style tree.
 
 The DOMs of a host's pages are merged: a node of the style tree is an element's path of tags
-with classes and ids; it keeps how many pages have it, which presentations (sequences of child
+with classes and ids; it keeps how many pages (copies of a page count once) have it, which presentations (sequences of child
 tags) it takes, and which contents its text takes.  Importance follows the two entropies:
 
 * presentation: ``-sum p log_m p`` over a node's presentations on its m pages (1 for one page);
@@ -207,9 +207,14 @@ def placed(nodes: list[dict]) -> tuple[list[int], list[dict]]:
                    for p, i in first.items()]
 
 
+def page_hash(blocks: list[dict], nodes: list[dict]) -> int:
+    """Equal for copies: the node tree and the texts in it."""
+    return _hash("\n".join([f"{n['parent']} {n['label']}" for n in nodes] + [str(b["content"]) for b in blocks]))
+
+
 _BLOCK = pa.struct([("node", pa.int32()), ("text", pa.string()), ("content", pa.int64()), ("noise", pa.bool_()), ("landmark", pa.bool_())])
 _NODE = pa.struct([("parent", pa.int32()), ("label", pa.string()), ("block", pa.bool_())])
-_PARSED = ("host string, blocks array<struct<node:int,text:string,content:long,noise:boolean,landmark:boolean>>, "
+_PARSED = ("host string, page long, blocks array<struct<node:int,text:string,content:long,noise:boolean,landmark:boolean>>, "
            "nodes array<struct<parent:int,label:string,block:boolean>>")
 _STYLES = pa.list_(pa.struct([("path", pa.int64()), ("parent", pa.int64()), ("shape", pa.int64())]))
 _TEXTS = pa.list_(pa.struct([("path", pa.int64()), ("content", pa.int64()), ("landmark", pa.bool_())]))
@@ -222,8 +227,9 @@ def _parse(batches):
             urls, pages = part.column(1).to_pylist(), part.column(2).to_pylist()
             got = [parse(p) for p in pages]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array([host_of(u) for u in urls]), pa.array([g[0] for g in got], pa.list_(_BLOCK)),
-                 pa.array([g[1] for g in got], pa.list_(_NODE))], ["id", "url", "host", "blocks", "nodes"])
+                [part.column(0), part.column(1), pa.array([host_of(u) for u in urls]), pa.array([page_hash(*g) for g in got], pa.int64()),
+                 pa.array([g[0] for g in got], pa.list_(_BLOCK)), pa.array([g[1] for g in got], pa.list_(_NODE))],
+                ["id", "url", "host", "page", "blocks", "nodes"])
 
 
 def _place(batches):
@@ -290,11 +296,18 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": pdf["host"].iloc[:1], "low": [low]})
 
 
+def _once_a_page(parsed: DataFrame, slim: DataFrame) -> DataFrame:
+    """``slim`` with one row for each distinct page of a host; only pages with copies are joined."""
+    copies = parsed.groupBy("host", "page").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = stored(copies.drop("n"), "style-copies")
+    return slim.join(copies, ["host", "page"], "left").where("first is null or first = row").select("row", "host", "nodes", "blocks")
+
+
 def style_verdicts(parsed: DataFrame) -> DataFrame:
     """One row per host with something to remove: ``low`` paths, ``repeated`` texts (path and
     text hash)."""
-    slim = parsed.select("row", "host", "nodes", F.transform("blocks", lambda b: F.struct(b["node"], b["content"], b["landmark"])).alias("blocks"))
-    tree = slim.mapInArrow(_place, "row long, host string, styles array<struct<path:long,parent:long,shape:long>>, "
+    slim = parsed.select("row", "host", "page", "nodes", F.transform("blocks", lambda b: F.struct(b["node"], b["content"], b["landmark"])).alias("blocks"))
+    tree = _once_a_page(parsed, slim).mapInArrow(_place, "row long, host string, styles array<struct<path:long,parent:long,shape:long>>, "
                                    "texts array<struct<path:long,content:long,landmark:boolean>>")
     tree = stored(tree, "style-rows")
     style = tree.select("host", F.explode("styles").alias("s")).select("host", "s.*")
