@@ -1,7 +1,7 @@
 """HTML extraction by a site style tree.
 
 The DOMs of a host's pages are merged: a node of the style tree is an element's path of tags
-with classes and ids; it keeps how many pages (copies of a page count once) have it, which presentations (sequences of child
+with classes and ids (not ids, or classes with a digit, that one page alone has); it keeps how many pages (copies of a page count once) have it, which presentations (sequences of child
 tags) it takes, and which contents its text takes.  Importance follows the two entropies:
 
 * presentation: ``-sum p log_m p`` over a node's presentations on its m pages (1 for one page);
@@ -16,10 +16,11 @@ the like have no importance, and a page with an article or main element gives on
 Inside such an element low branches and repeated texts go too, but a text only if ``MIN_PAGES``
 pages have it.
 
-Scale: pages are parsed once and stored as blocks; the style tree is built by grouped sums over
-(host, path) and (host, path, text hash), pre-aggregated, so a hot host is no single task; the
-verdicts of a host (low paths and repeated text hashes) are joined back, split where a host is
-hot.  Whole pages are read.
+Scale: pages are parsed once and stored as blocks and node trees; the style tree is built by
+grouped sums over (host, path) and (host, path, text hash), pre-aggregated, and importances are
+composed in rounds of joins by (host, path), so a hot host is no single task; the verdicts of a
+host (low paths and repeated texts) are joined back, split where a host is hot.  Whole pages are
+read.
 
 Defined cases: NULL or empty html gives the empty text; a page that breaks off is read to its
 end; a NULL or unreadable URL is a host of its own name ''; repeated rows each get a row; other
@@ -32,7 +33,6 @@ import hashlib
 import html
 import re
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -180,7 +180,7 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
         landmark = tag in LANDMARKS or attrs.get("role") in ("main", "article")
         noise = (tag in NOISE_TAGS or attrs.get("role") in NOISE_ROLES or (tag == "header" and not top.landmark)
                  or (tag not in ("html", "body") and not landmark and bool(words & NOISE_WORDS)))
-        label = ".".join([tag, *sorted(attrs.get("class", "").split())]) + ("#" + attrs["id"] if attrs.get("id") else "")
+        label = " ".join([tag, *("." + c for c in sorted(attrs.get("class", "").split())), *("#" + i for i in attrs.get("id", "").split())])
         nodes.append({"parent": top.node, "label": label, "block": tag in BLOCKS})
         here = len(stack)
         stack.append(_Element(tag, len(nodes) - 1, top.noise or noise, top.landmark or (landmark and not noise),
@@ -190,9 +190,18 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
     return blocks, nodes
 
 
-def placed(nodes: list[dict]) -> tuple[list[int], list[dict]]:
+def identifiers(nodes: list[dict]) -> list[str]:
+    """The page's ids and its classes with a digit."""
+    names = {x for n in nodes if n["label"] for x in n["label"].split(" ")[1:]}
+    return sorted(x for x in names if x[0] == "#" or any(c.isdigit() for c in x))
+
+
+def placed(nodes: list[dict], once=()) -> tuple[list[int], list[dict]]:
     """(the path hash of each node, a text having its element's; one row per path of block-level
-    elements, with its parent path and the sequence of child labels of its first element)."""
+    elements, with its parent path and the sequence of child labels of its first element); labels are without the
+    identifiers ``once``."""
+    if once:
+        nodes = [n if n["label"] is None else {**n, "label": " ".join(x for x in n["label"].split(" ") if x not in once)} for n in nodes]
     paths, inner, first = [], {}, {}
     above = []
     for i, n in enumerate(nodes):
@@ -203,7 +212,7 @@ def placed(nodes: list[dict]) -> tuple[list[int], list[dict]]:
         above.append(up if up < 0 or nodes[up]["block"] else above[up])
         if n["block"]:
             first.setdefault(paths[i], i)
-    return paths, [{"path": p, "parent": paths[above[i]] if above[i] >= 0 else 0, "shape": _hash(" ".join(inner.get(i, ())))}
+    return paths, [{"path": p, "parent": paths[above[i]] if above[i] >= 0 else 0, "shape": _hash("\n".join(inner.get(i, ())))}
                    for p, i in first.items()]
 
 
@@ -215,7 +224,7 @@ def page_hash(blocks: list[dict], nodes: list[dict]) -> int:
 _BLOCK = pa.struct([("node", pa.int32()), ("text", pa.string()), ("content", pa.int64()), ("noise", pa.bool_()), ("landmark", pa.bool_())])
 _NODE = pa.struct([("parent", pa.int32()), ("label", pa.string()), ("block", pa.bool_())])
 _PARSED = ("host string, page long, blocks array<struct<node:int,text:string,content:long,noise:boolean,landmark:boolean>>, "
-           "nodes array<struct<parent:int,label:string,block:boolean>>")
+           "nodes array<struct<parent:int,label:string,block:boolean>>, names array<string>")
 _STYLES = pa.list_(pa.struct([("path", pa.int64()), ("parent", pa.int64()), ("shape", pa.int64())]))
 _TEXTS = pa.list_(pa.struct([("path", pa.int64()), ("content", pa.int64()), ("landmark", pa.bool_())]))
 
@@ -228,18 +237,18 @@ def _parse(batches):
             got = [parse(p) for p in pages]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array([host_of(u) for u in urls]), pa.array([page_hash(*g) for g in got], pa.int64()),
-                 pa.array([g[0] for g in got], pa.list_(_BLOCK)), pa.array([g[1] for g in got], pa.list_(_NODE))],
-                ["id", "url", "host", "page", "blocks", "nodes"])
+                 pa.array([g[0] for g in got], pa.list_(_BLOCK)), pa.array([g[1] for g in got], pa.list_(_NODE)),
+                 pa.array([identifiers(g[1]) for g in got], pa.list_(pa.string()))], ["id", "url", "host", "page", "blocks", "nodes", "names"])
 
 
 def _place(batches):
-    """(row, host, nodes, blocks without text) -> the page's styles and texts."""
+    """(row, host, nodes, blocks without text, once) -> the page's styles and texts."""
     for batch in batches:
         for a in range(0, batch.num_rows, 200):
             part = batch.slice(a, 200)
             styles, texts = [], []
-            for nodes, blocks in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                paths, rows = placed(nodes)
+            for nodes, blocks, once in zip(*(part.column(i).to_pylist() for i in range(2, 5))):
+                paths, rows = placed(nodes, frozenset(once or ()))
                 styles.append(rows)
                 texts.append([{"path": paths[b["node"]], "content": b["content"], "landmark": b["landmark"]} for b in blocks])
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(styles, _STYLES), pa.array(texts, _TEXTS)],
@@ -247,14 +256,14 @@ def _place(batches):
 
 
 def _keep(batches):
-    """(id, url, blocks, nodes, low, repeated) -> the text that is left of each page."""
+    """(id, url, blocks, nodes, low, repeated, once) -> the text that is left of each page."""
     for batch in batches:
         for a in range(0, batch.num_rows, 200):
             part = batch.slice(a, 200)
             texts, sizes = [], []
-            for blocks, nodes, low, repeated in zip(*(part.column(i).to_pylist() for i in range(2, 6))):
+            for blocks, nodes, low, repeated, once in zip(*(part.column(i).to_pylist() for i in range(2, 7))):
                 low, repeated = frozenset(low or ()), frozenset((r["path"], r["content"]) for r in repeated or ())
-                paths, gone = (placed(nodes)[0], []) if low or repeated else ([0] * len(nodes), [])
+                paths, gone = (placed(nodes, frozenset(once or ()))[0], []) if low or repeated else ([0] * len(nodes), [])
                 for p, n in zip(paths, nodes):
                     gone.append(p in low or (n["parent"] >= 0 and gone[n["parent"]]))
                 some = any(b["landmark"] and not b["noise"] for b in blocks)
@@ -267,47 +276,62 @@ def _keep(batches):
 
 # ---------------------------------------------------------------- the style tree
 
-def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Composite importance of a host's style nodes, deepest first."""
-    rows = {r.path: r for r in pdf.itertuples()}
-    kids: dict[int, list[int]] = {}
-    for r in rows.values():
-        if r.parent in rows and r.parent != r.path:
-            kids.setdefault(r.parent, []).append(r.path)
-    value: dict[int, float] = {}
-    most: dict[int, float] = {}  # within the branch
-    todo = [(p, False) for p, r in rows.items() if r.parent not in rows or r.parent == p]
-    while todo:
-        path, ready = todo.pop()
-        own = rows[path]
-        if not ready:
-            todo.append((path, True))
-            todo.extend((k, False) for k in kids.get(path, ()))
-            continue
-        below = [(rows[k].pages, value[k]) for k in kids.get(path, ())]
-        if not pd.isna(own.content):
-            below.append((own.pages, float(own.content)))
-        share = GAMMA ** max(int(own.size), 1)
-        total = sum(n for n, _ in below)
-        inner = sum(n * v for n, v in below) / total if total else 0.0
-        value[path] = (1 - share) * float(own.shape_entropy) + share * inner if below else 0.0
-        most[path] = max([value[path], *(most[k] for k in kids.get(path, ())), 0.0 if pd.isna(own.content) else float(own.content)])
-    low = [p for p, v in most.items() if v < LEAST and rows[p].pages >= MIN_PAGES]
-    return pd.DataFrame({"host": pdf["host"].iloc[:1], "low": [low]})
-
-
-def _once_a_page(parsed: DataFrame, slim: DataFrame) -> DataFrame:
+def _composed(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (host, path, parent, pages, size, shape_entropy, content) with ``value``, the composite
+    importance, and ``most``, the greatest importance in the branch.
+
+    A value is linear in those of the children, so sums of branches 1, 2, 4, ... levels deep are
+    put together: a tree of d levels takes log2(d) rounds of joins by (host, path)."""
+    kids = nodes.groupBy("host", F.col("parent").alias("path")).agg(F.sum("pages").alias("kids"))
+    own = F.when(F.col("content").isNotNull(), F.col("pages")).otherwise(0)
+    total = F.coalesce("kids", F.lit(0)) + own
+    share = F.pow(F.lit(GAMMA), F.col("size"))
+    base = stored(nodes.join(kids, ["host", "path"], "left").withColumn("total", total).select(
+        "host", "path", "parent", "pages", "content", F.when(total > 0, share / F.col("total")).alias("weight"),
+        F.when(total > 0, (1 - share) * F.col("shape_entropy") + share * F.coalesce("content", F.lit(0.0)) * own / F.col("total"))
+        .otherwise(0.0).alias("value")), "style-nodes")
+    over = base.select("host", F.col("path").alias("parent"), F.col("weight").alias("over"))
+    state = stored(base.join(over, ["host", "parent"], "left").select(
+        "host", "path", "value", F.when(F.col("over").isNotNull(), F.col("parent")).alias("up"), (F.col("over") * F.col("pages")).alias("coef")), "style-up")
+    rounds = []
+    while not state.where("up is not null").isEmpty():
+        rounds.append(state.select("host", "path", "up"))
+        add = state.where("up is not null").groupBy("host", F.col("up").alias("path")).agg(F.sum(F.col("coef") * F.col("value")).alias("more"))
+        nxt = state.select("host", F.col("path").alias("up"), F.col("up").alias("far"), F.col("coef").alias("further"))
+        state = stored(state.join(add, ["host", "path"], "left").join(nxt, ["host", "up"], "left").select(
+            "host", "path", (F.col("value") + F.coalesce("more", F.lit(0.0))).alias("value"), F.col("far").alias("up"),
+            (F.col("coef") * F.col("further")).alias("coef")), "style-up")
+    best = F.greatest(F.round("value", 9), F.coalesce("content", F.lit(0.0)))
+    out = stored(base.drop("value").join(state.select("host", "path", "value"), ["host", "path"])
+                 .select("host", "path", "pages", "value", best.alias("most")), "style-values")
+    for ups in rounds:
+        add = ups.where("up is not null").join(out, ["host", "path"]).groupBy("host", F.col("up").alias("path")).agg(F.max("most").alias("below"))
+        out = stored(out.join(add, ["host", "path"], "left").select(
+            "host", "path", "pages", "value", F.greatest("most", "below").alias("most")), "style-values")
+    return out
+
+
+def _distinct_pages(parsed: DataFrame, slim: DataFrame) -> DataFrame:
     """``slim`` with one row for each distinct page of a host; only pages with copies are joined."""
     copies = parsed.groupBy("host", "page").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = stored(copies.drop("n"), "style-copies")
-    return slim.join(copies, ["host", "page"], "left").where("first is null or first = row").select("row", "host", "nodes", "blocks")
+    return slim.join(copies, ["host", "page"], "left").where("first is null or first = row").drop("first")
+
+
+def one_page_names(parsed: DataFrame) -> DataFrame:
+    """(host, page, ``once``): the identifiers that no other page of the host has, so a group holds
+    those of one page."""
+    names = parsed.where("size(names) > 0").select("host", "page", F.explode("names").alias("name")).distinct()
+    alone = names.groupBy("host", "name").agg(F.min("page").alias("page"), F.count(F.lit(1)).alias("n")).where("n = 1")
+    return alone.groupBy("host", "page").agg(F.collect_list("name").alias("once"))
 
 
-def style_verdicts(parsed: DataFrame) -> DataFrame:
+def style_verdicts(parsed: DataFrame, once: DataFrame) -> DataFrame:
     """One row per host with something to remove: ``low`` paths, ``repeated`` texts (path and
     text hash)."""
     slim = parsed.select("row", "host", "page", "nodes", F.transform("blocks", lambda b: F.struct(b["node"], b["content"], b["landmark"])).alias("blocks"))
-    tree = _once_a_page(parsed, slim).mapInArrow(_place, "row long, host string, styles array<struct<path:long,parent:long,shape:long>>, "
+    slim = _distinct_pages(parsed, slim).join(once, ["host", "page"], "left").select("row", "host", "nodes", "blocks", "once")
+    tree = slim.mapInArrow(_place, "row long, host string, styles array<struct<path:long,parent:long,shape:long>>, "
                                    "texts array<struct<path:long,content:long,landmark:boolean>>")
     tree = stored(tree, "style-rows")
     style = tree.select("host", F.explode("styles").alias("s")).select("host", "s.*")
@@ -323,7 +347,8 @@ def style_verdicts(parsed: DataFrame) -> DataFrame:
     content = items.groupBy("host", "path").agg(
         (1 - F.avg(F.when(F.col("pages") > 1, F.log("k") / F.log("pages")).otherwise(0.0))).alias("content"))
     nodes = nodes.join(content, ["host", "path"], "left").select("host", "path", "parent", "pages", "size", "shape_entropy", "content")
-    low = nodes.groupBy("host").applyInPandas(_compose, "host string, low array<long>")
+    low = (_composed(nodes).where((F.col("most") < LEAST) & (F.col("pages") >= MIN_PAGES))
+           .groupBy("host").agg(F.collect_list("path").alias("low")))
     repeated = (items.where((F.col("pages") >= MIN_PAGES) & (F.col("k") > F.col("pages") * REPEATED)
                             & (F.col("k") >= F.when(F.col("inside"), MIN_PAGES).otherwise(2)))
                      .groupBy("host").agg(F.collect_set(F.struct("path", "content")).alias("repeated")))
@@ -337,8 +362,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     kind = src.schema[0].dataType.simpleString()
     parsed = src.mapInArrow(_parse, f"id {kind}, url string, {_PARSED}").withColumn("row", F.monotonically_increasing_id())
     parsed = stored(parsed, "style-pages")
-    verdicts = stored(style_verdicts(parsed), "style-verdicts")
-    marked = parsed.join(verdicts, "host", "left").select("id", "url", "blocks", "nodes", "low", "repeated")
+    once = stored(one_page_names(parsed), "style-once")
+    verdicts = stored(style_verdicts(parsed, once), "style-verdicts")
+    marked = (parsed.join(verdicts, "host", "left").join(once, ["host", "page"], "left")
+                    .select("id", "url", "blocks", "nodes", "low", "repeated", "once"))
     out = marked.mapInArrow(_keep, f"id {kind}, url string, text string, n_blocks int")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                       F.char_length("text").cast("long").alias("n_chars"), "n_blocks")

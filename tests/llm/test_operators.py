@@ -1,6 +1,7 @@
 """Operators on a small frame with NULLs, copies, ties, empty texts and clashing columns."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -180,6 +181,31 @@ def test_html_copies_of_a_page_are_one_page(spark):
     assert [t.split("\n")[1:] for t in got[6:]] == [["First", "Second"]] * 2 + [["Third", "Fourth"]]
 
 
+def test_html_importance_is_composed_over_levels(spark):
+    rnd, rows = random.Random(5), []
+    for host in "ab":
+        for path in range(1, 120):
+            parent = 0 if path == 1 else path - 1 if path < 40 else rnd.randrange(1, path)
+            rows.append((host, path, parent, rnd.randint(1, 9), rnd.randint(1, 4), rnd.random() / 9, rnd.choice([None, 0.0, 0.3])))
+    nodes = spark.createDataFrame(rows, "host string, path long, parent long, pages long, size long, shape_entropy double, content double")
+    want = {}
+    for host, path, _, pages, size, shape, content in reversed(rows):
+        kids = [(r[3], *want[host, r[1]]) for r in rows if r[0] == host and r[2] == path]
+        below = [k[:2] for k in kids] + ([] if content is None else [(pages, content)])
+        inner = sum(n * v for n, v in below) / sum(n for n, _ in below) if below else 0.0
+        value = (1 - 0.9 ** size) * shape + 0.9 ** size * inner if below else 0.0
+        want[host, path] = (value, max([value, content or 0.0, *(k[2] for k in kids)]))
+    got = html_extract._composed(nodes).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.value, r.most) == pytest.approx(want[r.host, r.path], abs=1e-8)
+
+
+def test_html_identifiers_of_one_page_do_not_split_paths(spark):
+    site = [("http://h.example/", f"<body><div id=post-{i} class='post p{i}'><div class=tail>Same tail</div><p>Own {i}</p></div></body>") for i in range(5)]
+    assert page_texts(spark, site) == [f"Own {i}" for i in range(5)]
+
+
 def test_empty_tables(docs):
     none = docs.limit(0)
     assert exact_dedup.duplicate_report(none).count() == 0
