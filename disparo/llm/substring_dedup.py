@@ -148,8 +148,7 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                                              "node long, anchor long, start int, windows int"), "substring-anchors")
     shared = anchors.groupBy("anchor").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("anchor")
     shared = stored(shared, "substring-shared")  # dealt anew in the join, so a common anchor can be split
-    suspects = anchors.join(shared, "anchor").groupBy("node").agg(
-        F.array_distinct(F.collect_list(F.struct("start", "windows", "anchor"))).alias("runs"))
+    suspects = _shared_runs(anchors, shared).groupBy("node").agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("runs"))
     suspects = stored(suspects.join(owners, "node"), "substring-suspects")
     small = suspects.count() <= MAX_BROADCAST_ROWS and _run_bytes(suspects) <= 32 << 20
     listed = F.broadcast(suspects) if small else suspects
@@ -175,6 +174,12 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return stored(owners.join(hits, "node", "left"), "substring-hits")
 
 
+def _shared_runs(anchors: DataFrame, shared: DataFrame) -> DataFrame:
+    """The runs with a shared anchor, once a text: copies are merged by partial aggregation before
+    the runs of a text are collected, so a group holds those of one text."""
+    return anchors.join(shared, "anchor").select("node", "start", "windows", "anchor").distinct()
+
+
 def _run_bytes(suspects: DataFrame) -> int:
     return (suspects.agg(F.sum(F.size("runs"))).first()[0] or 0) * 24
 

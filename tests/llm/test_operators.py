@@ -86,6 +86,13 @@ def test_substring_dedup(docs):
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == sorted(want, key=str)
 
 
+def test_substring_runs_of_copies_are_one_row(spark):
+    anchors = spark.range(5000).selectExpr("7L as node", "id % 3 as anchor", "cast(id % 3 as int) as start", "4 as windows")
+    shared = spark.createDataFrame([(0,), (2,)], "anchor long")
+    got = substring_dedup._shared_runs(anchors, shared)
+    assert sorted(map(tuple, got.collect())) == [(7, 0, 4, 0), (7, 2, 4, 2)]
+
+
 def test_sharding(docs):
     got = sharding.shard_documents(docs, shards=3, cell_rows=2).collect()
     assert len(got) == len(ROWS)
