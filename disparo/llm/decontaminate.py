@@ -216,34 +216,84 @@ def remove_contamination(docs: DataFrame, items: DataFrame, text_col: str = "tex
     if how not in ("documents", "spans"):
         raise ValueError(f"how must be documents or spans, not {how!r}")
     spark, out = docs.sparkSession, docs
-    for s in _slices(items, item_id, item_text, max_slice_bytes):
+    slices = _slices(items, item_id, item_text, max_slice_bytes)
+    if how == "spans" and not isinstance(slices, list):
+        return _cut_once(docs, slices, text_col, ngram)
+    for s in slices:
         shared = spark.sparkContext.broadcast(item_windows(*s, ngram=ngram))
         out = out.mapInArrow(_remover(shared, text_col, how), docs.schema)
     return out
 
 
+def _cut_once(docs: DataFrame, slices, text_col: str, ngram: int) -> DataFrame:
+    """Several slices: each is scanned on the uncut text; a row's hit runs are then united and cut."""
+    spark = docs.sparkSession
+    base = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "decontaminate-rows")
+    hits = None
+    for s in slices:
+        shared = spark.sparkContext.broadcast(item_windows(*s, ngram=ngram))
+        one = base.select(ROW, F.col(text_col).alias("text")).mapInArrow(_span_finder(shared), f"{ROW} long, {HITS} {_SPANS}")
+        hits = one if hits is None else hits.unionByName(one)
+    hits = hits.groupBy(ROW).agg(F.flatten(F.collect_list(HITS)).alias(HITS))
+    return base.join(hits, ROW, "left").select(*docs.columns, HITS).mapInArrow(_cutter(text_col), docs.schema)
+
+
+_SPANS = "array<struct<first_word:int,end_word:int>>"
+
+
+def _span_finder(shared):
+    def run(batches):
+        cache: dict = {}
+        kind = pa.list_(pa.struct([("first_word", pa.int32()), ("end_word", pa.int32())]))
+        for part, data, off in chunks(batches):
+            w, hit, _ = _matcher(cache, shared).scan(data, off)
+            rows = np.unique(w.rows()[hit]) if hit.any() else np.zeros(0, np.int64)
+            spans = [_runs(hit[w.first[r]:w.first[r + 1]]) for r in rows.tolist()]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), pa.array(spans, kind)], [ROW, HITS])
+    return run
+
+
+def _cutter(text_col: str):
+    def run(batches):
+        for part, data, off in chunks(batches, text_col):
+            w = Words(data, off, alnum_class())
+            hit = np.zeros(len(w.start), bool)
+            last = part.num_columns - 1
+            for r, spans in enumerate(part.column(last).to_pylist()):
+                for s in spans or ():
+                    hit[w.first[r] + s["first_word"]:w.first[r] + s["end_word"]] = True
+            names = part.schema.names[:last]
+            yield _cut_rows(pa.RecordBatch.from_arrays(part.columns[:last], names), data, off, w, hit, text_col)
+    return run
+
+
+def _cut_rows(part, data, off, w, hit, text_col: str):
+    rows = np.unique(w.rows()[hit]) if hit.any() else np.zeros(0, np.int64)
+    if not len(rows):
+        return part
+    i = part.schema.get_field_index(text_col)
+    texts = part.column(i).to_pylist()
+    for r in rows.tolist():
+        a = w.first[r]
+        raw, at, kept = data[off[r]:off[r + 1]].tobytes(), 0, []
+        for run_ in _runs(hit[a:w.first[r + 1]]):
+            s, e = w.start[a + run_["first_word"]] - off[r], w.end[a + run_["end_word"] - 1] - off[r]
+            kept.append(raw[at:s])
+            at = e
+        texts[r] = b"".join([*kept, raw[at:]]).decode()
+    return part.set_column(i, part.schema.field(i), pa.array(texts, part.schema.field(i).type))
+
+
 def _remover(shared, text_col: str, how: str):
     def run(batches):
         cache: dict = {}
         for part, data, off in chunks(batches, text_col):
             w, hit, _ = _matcher(cache, shared).scan(data, off)
-            rows = np.unique(w.rows()[hit]) if hit.any() else np.zeros(0, np.int64)
             if how == "documents":
+                rows = np.unique(w.rows()[hit]) if hit.any() else np.zeros(0, np.int64)
                 keep = np.ones(part.num_rows, bool)
                 keep[rows] = False
                 yield part.filter(pa.array(keep)) if len(rows) else part
-            elif len(rows):
-                i = part.schema.get_field_index(text_col)
-                texts = part.column(i).to_pylist()
-                for r in rows.tolist():
-                    a = w.first[r]
-                    raw, at, kept = data[off[r]:off[r + 1]].tobytes(), 0, []
-                    for run_ in _runs(hit[a:w.first[r + 1]]):
-                        s, e = w.start[a + run_["first_word"]] - off[r], w.end[a + run_["end_word"] - 1] - off[r]
-                        kept.append(raw[at:s])
-                        at = e
-                    texts[r] = b"".join([*kept, raw[at:]]).decode()
-                yield part.set_column(i, part.schema.field(i), pa.array(texts, part.schema.field(i).type))
             else:
-                yield part
+                yield _cut_rows(part, data, off, w, hit, text_col)
     return run

@@ -48,6 +48,18 @@ def test_decontamination(spark, docs):
     assert decontaminate.remove_contamination(docs, items).where("doc_id in (1, 2, 3, 7, 8, 9)").count() == 0
 
 
+def test_spans_of_slices_are_cut_once(spark, docs):
+    """Windows 3-12 and 8-17 lie in two slices; 30-34 joined to 45-49 is no window of a document."""
+    w = [f"w{i}" for i in range(70)]
+    items = spark.createDataFrame([(1, " ".join(w[3:13])), (2, " ".join(w[8:18])), (3, " ".join(w[35:45])), (4, " ".join(w[30:35] + w[45:50]))],
+                                  "item_id long, text string")
+    few = docs.where("doc_id in (1, 7)")
+    sliced = decontaminate.remove_contamination(few, items, how="spans", max_slice_bytes=8)
+    assert sliced.schema == docs.schema
+    got = {r.doc_id: r.text.split() for r in sliced.collect()}
+    assert got == {1: [x for i, x in enumerate(w) if not (3 <= i < 18 or 35 <= i < 45)], 7: ["a", "b"]}
+
+
 def brute_components(k=4, percent=85):
     def shingles(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
