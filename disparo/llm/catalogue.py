@@ -13,6 +13,7 @@ from disparo.llm.jaccard_join import jaccard_components
 from disparo.llm.langid import train_and_identify
 from disparo.llm.sentencepiece import encode_documents
 from disparo.llm.sharding import shard_documents
+from disparo.llm.simhash import simhash_components
 from disparo.llm.substring_dedup import remove_repeats
 from disparo.llm.token_counts import token_counts
 
@@ -59,6 +60,10 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     return train_and_identify(documents(spark, d)).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op12_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return simhash_components(documents(spark, d))
+
+
 def _query(fn):
     def run(spark: SparkSession, d: str) -> DataFrame:
         ship_package(spark)
@@ -78,6 +83,7 @@ _ALL = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
 }
 
 QUERIES = {name: _query(fn) for name, fn in _ALL.items()}
