@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from disparo.llm.collocations import collocation_report
 from disparo.llm.common import documents, ship_package
+from disparo.llm.conversation_trie import conversation_trie
 from disparo.llm.decontaminate import contamination_report
 from disparo.llm.exact_dedup import duplicate_report
 from disparo.llm import quality
@@ -60,10 +62,18 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     return train_and_identify(documents(spark, d)).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return conversation_trie(documents(spark, d, "conversations"))
+
+
 def op12_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return simhash_components(documents(spark, d))
 
 
+def op13_phrase_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocation_report(documents(spark, d))
+
+
 def _query(fn):
     def run(spark: SparkSession, d: str) -> DataFrame:
         ship_package(spark)
@@ -83,7 +93,9 @@ _ALL = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
     "op12_simhash_near_dedup": op12_simhash_near_dedup,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 QUERIES = {name: _query(fn) for name, fn in _ALL.items()}
