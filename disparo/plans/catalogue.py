@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from disparo.config import EventConfig
 from disparo.operators.buckets import add_demographic_buckets, add_group_share
 from disparo.operators.buckets import summary_breaks
 from disparo.operators.clean import clean_column_names, clip_age, normalize_booleans, standardize_strings
+from disparo.operators.dictionary import category_dictionary, index_categories
 from disparo.operators.encode import (apply_class_weights, class_counts, distinct_values,
                                       fit_class_weights, frequency_encode, hash_split)
 from disparo.operators.fairness import (COUNT_COLS, bucket_metrics, fairness_by,
@@ -28,14 +30,17 @@ from disparo.operators.lookup import store_table
 from disparo.operators.model import fit_variant, score
 from disparo.operators.ranking import ranking_metrics
 from disparo.operators.refdata import attach_reference
+from disparo.operators.sketches import merge_sketches, rank_errors, sketch_quantiles, value_sketches
+from disparo.operators.stages import ExactMedianImputer, FrequencyEncoder, QuantileBucketizer
 from disparo.operators.timefeat import make_time_features
 from disparo.plans import adapters
 from disparo.plans.jobs import audit, enrich, train_evaluate
 from disparo.session import ensure_checkpoint_dir, scratch_path
 from disparo.streaming import read_enriched, start_enrich_stream
+from disparo.sources.manifest import current, read_published
 from disparo.sources.payload import DATASETS, MEASURE_NAMES, reference_from_payloads
-from disparo.sources.tables import (read_json_metrics, read_or_build, read_raw_csv, read_table,
-                                    write_json_metrics, write_partitioned, write_raw_csv)
+from disparo.sources.tables import (load_model, publish_table, read_json_metrics, read_or_build, read_raw_csv, read_table,
+                                    save_model, write_json_metrics, write_partitioned, write_raw_csv)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,8 +259,7 @@ def q_rank_unique_score(spark, d):
 
 def q_category_index(spark, d):
     b = adapters.typed_facts(spark, d, with_part=True, with_place=False)
-    m = StringIndexer(inputCol="p_type", outputCol="p_type_idx", handleInvalid="keep").fit(b)
-    return m.transform(b).select("p_type", "p_type_idx").distinct()
+    return index_categories(b, "p_type", category_dictionary(b, "p_type"), "p_type_idx").select("p_type", "p_type_idx").distinct()
 
 
 def q_one_hot(spark, d):
@@ -313,6 +317,66 @@ def q_read_or_build(spark, d):
     return _enriched_out(again)
 
 
+def q_published_table(spark, d):
+    """Rows a year of the enriched table, read through its manifest, beside the manifest's own count."""
+    path = scratch_path(spark, "published")
+    publish_table(_enriched(spark, d), path)
+    again = read_published(spark, path)
+    return (again.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"))
+                 .withColumn("published_rows", F.lit(current(spark, path).n_rows).cast("bigint")))
+
+
+def q_saved_pipeline(spark, d):
+    """Train-only frequency, exact median and quartile bucket as stages of one pipeline, fitted on the
+    train split, saved, loaded and applied to all rows."""
+    tagged = hash_split(_a_clean(spark, d).select("event_id", "department_name", "subject_age"), "event_id")
+    rows = store_table(tagged, "split-rows")
+    stages = [FrequencyEncoder(inputCol="department_name", outputCol="dept_freq_train"),
+              ExactMedianImputer(inputCols=["subject_age"], outputCols=["subject_age_imp"]),
+              QuantileBucketizer(inputCol="subject_age_imp", outputCol="age_quartile")]
+    path = scratch_path(spark, "pipeline-model")
+    save_model(Pipeline(stages=stages).fit(rows.where(F.col("split") == "train")), path)
+    return load_model(path).transform(rows).select("event_id", "department_name", "split", "dept_freq_train", "subject_age_imp",
+                                                   "age_quartile")
+
+
+def _order_values(spark, d):
+    o = adapters.table(spark, d, "orders").select("o_custkey", "o_totalprice")
+    c = adapters.table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = adapters.table(spark, d, "nation").select("n_nationkey", "n_name")
+    return (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select(F.col("n_name").alias("place"), F.col("c_mktsegment").alias("segment"), "o_totalprice"))
+
+
+def _within(errors, *columns):
+    return errors.select(*columns, "n", *[(F.col(f"e{i}") <= 0.01).alias(f"q{i}_ok") for i in (1, 2, 3)])
+
+
+def q_sketch_quantiles(spark, d):
+    """One pass builds sketches by (place, segment); merged to places, segments and all, each quartile
+    lies within a rank error of 0.01 of the exact one."""
+    rows = _order_values(spark, d)
+    sketches = store_table(value_sketches(rows, "o_totalprice", ["place", "segment"]), "sketches")
+    out = None
+    for by in (["place"], ["segment"], ["place", "segment"], []):
+        errors = rank_errors(rows, "o_totalprice", sketch_quantiles(merge_sketches(sketches, by)), by)
+        key = F.concat_ws("/", *by) if by else F.lit("")
+        part = _within(errors.withColumns({"grouping": F.lit("+".join(by) or "all"), "key": key}), "grouping", "key")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_approx_buckets(spark, d):
+    """The approximate bucket breaks (the default mode) with their exact rank errors, by bucketing."""
+    done = add_demographic_buckets(_b_ref(spark, d), CFG_B)
+    out = None
+    for tag, col, breaks in (("income", "median_income", done.income_breaks), ("share", "minority_share_stop", done.share_breaks)):
+        q = spark.createDataFrame([tuple(breaks)], "q1 double, q2 double, q3 double")
+        part = _within(rank_errors(done.df, col, q).withColumn("bucketing", F.lit(tag)), "bucketing")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_metrics_json(spark, d):
     path = scratch_path(spark, "metrics-json")
     fair = q_fairness_by_group(spark, d)
@@ -437,6 +501,10 @@ QUERIES: dict[str, Query] = {
     "enrich_full": q_enrich_full,
     "enriched_roundtrip": q_enriched_roundtrip,
     "read_or_build": q_read_or_build,
+    "published_table": q_published_table,
+    "saved_pipeline": q_saved_pipeline,
+    "sketch_quantiles": q_sketch_quantiles,
+    "approx_buckets": q_approx_buckets,
     "metrics_json": q_metrics_json,
     "stream_enrich": q_stream_enrich,
     "sample": q_sample,

@@ -189,6 +189,9 @@ pts AS (SELECT *, cp - pos AS pp, cn - neg AS pn FROM cum),
 tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM per)"""
 
 
+HASH_100 = "(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 100)"
+
+
 def w(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -357,6 +360,33 @@ ORACLE: dict[str, str] = {
     "read_or_build": w(ENRICH) + ENRICH_SELECT,
     "stream_enrich": w(ENRICH) + ENRICH_SELECT,
 
+    "published_table": w(ENRICH) + """SELECT year, count(*) AS n_rows,
+        (SELECT count(*) FROM a_enriched) AS published_rows FROM a_enriched GROUP BY year""",
+
+    "saved_pipeline": w(A, A_STD, A_BOOL, A_AGE) + f""", s AS (SELECT event_id, department_name, subject_age,
+          CASE WHEN {HASH_100} < 80 THEN 'train' ELSE 'test' END AS split FROM a_age),
+        f AS (SELECT department_name, count(*) AS n FROM s WHERE split = 'train' GROUP BY department_name),
+        m AS (SELECT quantile_disc(subject_age, 0.5) AS v FROM s WHERE split = 'train' AND subject_age IS NOT NULL),
+        i AS (SELECT event_id, department_name, split, coalesce(subject_age, m.v) AS subject_age_imp FROM s, m),
+        b AS (SELECT quantile_disc(subject_age_imp, 0.25) AS q1, quantile_disc(subject_age_imp, 0.5) AS q2,
+                     quantile_disc(subject_age_imp, 0.75) AS q3 FROM i WHERE split = 'train')
+        SELECT event_id, i.department_name, split,
+               CASE WHEN i.department_name IS NOT NULL THEN coalesce(f.n, 0) END AS dept_freq_train, subject_age_imp,
+               {_quartile('subject_age_imp', 'b', 'age_quartile')}
+        FROM i LEFT JOIN f ON f.department_name = i.department_name, b""",
+
+    "sketch_quantiles": """WITH v AS (SELECT n_name AS place, c_mktsegment AS segment FROM orders
+          JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_totalprice IS NOT NULL)
+        SELECT *, true AS q1_ok, true AS q2_ok, true AS q3_ok FROM (
+          SELECT 'place' AS grouping, place AS key, count(*) AS n FROM v GROUP BY place
+          UNION ALL SELECT 'segment', segment, count(*) FROM v GROUP BY segment
+          UNION ALL SELECT 'place+segment', place || '/' || segment, count(*) FROM v GROUP BY place, segment
+          UNION ALL SELECT 'all', '', count(*) FROM v)""",
+
+    "approx_buckets": w(B, R, SES) + """SELECT bucketing, n, true AS q1_ok, true AS q2_ok, true AS q3_ok FROM (
+          SELECT 'income' AS bucketing, count(median_income) AS n FROM ses
+          UNION ALL SELECT 'share', count(minority_share_stop) FROM ses)""",
+
     "metrics_json": w(B) + f"""SELECT grp, TP, P, FP, N, Pos, {RATES}
         FROM (SELECT grp, {FAIR_COLS} FROM b GROUP BY grp)""",
 }
