@@ -14,18 +14,20 @@ both of whose one-word-shorter parts are proposed.
 *Border failures.*  Where a border phrase proves frequent, longer phrases built on it are unknown;
 the next pass takes the frequent phrases as proposals and counts what no earlier pass has counted,
 until a pass brings no new frequent part.  Frequent phrases have frequent parts, so then all are
-known.  At most ``max_words`` full passes run.
+known.  At most ``max_words`` full passes run; the last of that number is one with the scan by text.
 
-*Proposals* travel as bit arrays over phrase hashes, at most ``2 ** FILTER_BITS`` bits (16 MB) each, by a
-broadcast whose size does not follow the corpus.  Two phrases on one bit only cause a phrase to
-be counted that need not be.  Counts themselves are keyed by the phrase's text: words are told
-apart by their bytes inside a task and phrases by numbers of their parts, so no count rests on a
-hash.
+*Counting.*  The passes count by phrase hash, packed five bytes an occurrence of a slice: a border is
+mostly rare phrases, and as text it would be several times the corpus.  Two phrases on one hash
+only raise a count.  One last scan counts the phrases that reached ``min_count`` again by their text:
+words are told apart by their bytes and phrases by numbers of their parts, so no result rests on a
+hash.  Proposals travel as bit arrays of at most ``2 ** FILTER_BITS`` bits (16 MB) each, by a broadcast
+whose size does not follow the corpus; two phrases on one bit only cause one to be counted that
+need not be.
 
 Scale: a scan slice holds ``SLICE_BYTES`` of text (a longer text is cut where a piece ends),
-counts are summed inside it and again before the shuffle; a hot phrase is one row a task.  Only
-rows from ``min_count`` on are stored.  The report's ranking takes the first ``top`` in salted
-groups before it takes them in a language.
+counts are summed inside it, a hot phrase is one entry a slice, and hash buckets hold about
+``BUCKET_BYTES``.  The report's ranking takes the first ``top`` in salted groups before it takes
+them in a language.
 
 Defined cases: NULL and empty texts have no words; repeated rows count each time; a language
 whose texts have no candidate has no rows; an empty table gives an empty result; other columns
@@ -38,11 +40,12 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from disparo.llm.common import stored
+from disparo.llm.common import shuffle_partitions, stored
 from disparo.llm.textscan import Words, lower_table, mix, ragged, text_buffers
 
 MAX_WORDS = 3
@@ -52,12 +55,15 @@ TOP = 2000
 SHARE = 0.25
 SAMPLE_ROWS = 1_000_000
 FILTER_BITS = 27
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
 SALTS = 64
 NO_LANG = "und"
 U64 = np.uint64
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
-COUNTED = "lang string, phrase string, k int, h long, n long"
+HASHED = "k int, bucket int, payload binary"
+COUNTED = "lang string, phrase string, k int, n long"
+_FLUSH = 1 << 21
 
 
 def word_class() -> np.ndarray:
@@ -145,139 +151,253 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) == 1
 
 
-def count_slice(data: np.ndarray, off: np.ndarray, lang: np.ndarray, salt: np.ndarray, max_words: int,
-                passes: list[dict[int, np.ndarray]] | None):
-    """Yields (k, place, hash, count, words) of the phrases this pass counts.  ``passes`` holds the proposals
-    of the passes so far, this one's last (by phrase length); None counts every phrase (the sample)."""
+def split_hash(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, 40 bits inside it) of a phrase hash."""
+    return ((h & U64(0xFFFFFF)) * U64(buckets) >> U64(24)).astype(np.int64), h >> U64(24)
+
+
+def folded(bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """What the bit arrays go by: a phrase hash as far as the packed counts tell it."""
+    return mix(key ^ (bucket.astype(U64) << U64(40)))
+
+
+def grams(data: np.ndarray, off: np.ndarray, lang: np.ndarray, salt: np.ndarray, max_words: int):
+    """Yields (words, k, starts, numbers, parts, places, hashes) for k = 1, 2, ...: the words where k-word
+    phrases start, the number of each such phrase in this slice, the numbers of its two one-word-shorter
+    parts (None for words), and a place and the hash of each number.  Equal numbers are equal texts."""
     low = lower_table()[data]
     w = Words(low, off, word_class())
     if not len(w.start):
         return
-    of_word = lang[w.rows()]
-    number, place, hashes = _word_numbers(w, of_word, salt)
-    first = passes is None or len(passes) == 1
-    if first:
-        yield 1, place, hashes, np.bincount(number), w
-    cut = np.append(0, np.cumsum(separator_class()[low], dtype=np.int64))[w.start]
     rows = w.rows()
-    joined = (cut[1:] == cut[:-1]) & (rows[1:] == rows[:-1])  # word i and i + 1 share a piece
-    alive = np.arange(len(w.start))  # where a phrase of k words starts
-    gram, gram_hash, words_hash = number, hashes, hashes  # number of the k-gram at each of ``alive``
-    at = np.full(len(w.start), -1, np.int64)
+    number, place, hashes = _word_numbers(w, lang[rows], salt)
+    yield w, 1, np.arange(len(number)), number, None, place, hashes
+    cut = np.append(0, np.cumsum(separator_class()[low], dtype=np.int64))[w.start]
+    joined = np.append((cut[1:] == cut[:-1]) & (rows[1:] == rows[:-1]), False)  # word i and i + 1 share a piece
+    starts, gram, gram_hash = np.arange(len(number)), number, hashes
+    at = np.full(len(number) + 1, -1, np.int64)
     for k in range(2, max_words + 1):
         at[:] = -1
-        at[alive] = gram
-        # Phrases of k words start where the (k-1)-gram here and the next one exist in one piece.
-        here = alive[(alive + k - 1 < len(w.start))]
-        here = here[joined[here + k - 2] & (at[here + 1] >= 0)]
-        if not len(here):
+        at[starts] = gram
+        starts = starts[joined[np.minimum(starts + k - 2, len(number) - 1)]]
+        starts = starts[at[starts + 1] >= 0]
+        if not len(starts):
             return
-        left, right = at[here], at[here + 1]
-        if passes is not None:
-            known = [_has(p[k - 1], gram_hash) for p in passes]
-            wanted = known[-1][left] & known[-1][right]
-            for old in known[:-1]:
-                wanted &= ~(old[left] & old[right])
-        else:
-            wanted = np.ones(len(here), bool)
-        key = left * np.int64(len(words_hash)) + number[here + k - 1]
-        keys, first_at, gram = np.unique(key, return_index=True, return_inverse=True)
-        with np.errstate(over="ignore"):
-            gram_hash = mix(gram_hash[left[first_at]] * U64(0x9FB21C651E98DF25) + words_hash[number[here + k - 1][first_at]])
-        count = np.bincount(gram[wanted], minlength=len(keys))
-        hit = np.flatnonzero(count)
-        if len(hit):
-            yield k, here[first_at[hit]], gram_hash[hit], count[hit], w
-        alive = here
-
-
-def _scan(max_words: int, shared):
+        parts = at[starts], at[starts + 1]
+        last = number[starts + k - 1]
+        keys, first, gram = np.unique(parts[0] * np.int64(len(hashes)) + last, return_index=True, return_inverse=True)
+        gram_hash = mix(gram_hash[parts[0][first]] * U64(0x9FB21C651E98DF25) + hashes[last[first]])
+        yield w, k, starts, gram, parts, starts[first], gram_hash
+
+
+def _salts(names: list[str]) -> np.ndarray:
+    return mix(np.array([int.from_bytes(n.encode()[:8].ljust(8, b"\0"), "big") ^ len(n) for n in names], U64) + U64(1))
+
+
+def _language_slices(batches):
+    """(names of the batch's languages, their salts, bytes, offsets, language of each row) of each slice."""
+    for batch in batches:
+        codes = batch.column(0).fill_null(NO_LANG).dictionary_encode()
+        salt = _salts(codes.dictionary.to_pylist())
+        lang = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        for data, off, row in slices(batch):
+            yield codes.dictionary, salt, data, off, lang[row]
+
+
+# ---------------------------------------------------------------- counting by hash
+
+def _packed(k: int, h: np.ndarray, n: np.ndarray, buckets: int):
+    """Rows of (k, bucket, payload): keys seen once (five bytes), then keys with counts."""
+    bucket, key = split_hash(h, buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket, key, n = bucket[order], key[order], n[order]
+    cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+    low, high = (key & U64(0xFFFFFFFF)).astype(np.uint32), (key >> U64(32)).astype(np.uint8)
+    names, payload = [], []
+    for a, b in zip(cut, np.append(cut[1:], len(order))):
+        once = n[a:b] == 1
+        more = n[a:b][~once]
+        head = np.array([once.sum(), len(more)], np.uint32).tobytes()
+        names.append(int(bucket[a]))
+        payload.append(head + low[a:b][once].tobytes() + high[a:b][once].tobytes()
+                       + low[a:b][~once].tobytes() + high[a:b][~once].tobytes() + more.astype(np.uint32).tobytes())
+    for a in range(0, len(names), 256):
+        m = len(names[a:a + 256])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, k, np.int32)), pa.array(names[a:a + m], pa.int32()),
+                                          pa.array(payload[a:a + m], pa.binary())], ["k", "bucket", "payload"])
+
+
+def _unpacked(payloads) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = [], []
+    for p in payloads:
+        one, more = np.frombuffer(p, np.uint32, 2).tolist()
+        at = 8
+        for m, many in ((one, False), (more, True)):
+            low = np.frombuffer(p, np.uint32, m, at).astype(U64)
+            high = np.frombuffer(p, np.uint8, m, at + 4 * m).astype(U64)
+            at += 5 * m
+            keys.append(low | (high << U64(32)))
+            counts.append(np.frombuffer(p, np.uint32, m, at).astype(np.int64) if many else np.ones(m, np.int64))
+            at += 4 * m if many else 0
+    return np.concatenate(keys), np.concatenate(counts)
+
+
+def _fresh(known: list[np.ndarray], parts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which phrases the last pass counts and no earlier one: both parts are proposed now, not before."""
+    left, right = parts
+    wanted = known[-1][left] & known[-1][right]
+    for old in known[:-1]:
+        wanted &= ~(old[left] & old[right])
+    return wanted
+
+
+def _scan(max_words: int, shared, buckets: int):
+    """Counts by hash what this pass counts.  ``shared`` holds the proposals of the passes so far (by phrase
+    length), this one's last; None counts every phrase (the sample)."""
     def run(batches):
         passes = shared.value if shared is not None else None
-        for batch in batches:
-            codes = batch.column(0).fill_null(NO_LANG).dictionary_encode()
-            names = codes.dictionary
-            salt = mix(np.array([int.from_bytes(n.encode()[:8].ljust(8, b"\0"), "big") ^ len(n) for n in names.to_pylist()], U64) + U64(1))
-            lang = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            for data, off, row in slices(batch):
-                of_row = lang[row]
-                for k, place, h, n, w in count_slice(data, off, of_row, salt, max_words, passes):
-                    of_word = of_row[w.rows()]
-                    if k == 1:
-                        total = np.bincount(of_word, minlength=len(names))
-                        some = np.flatnonzero(total)
-                        m = len(some)
-                        yield pa.RecordBatch.from_arrays(
-                            [names.take(pa.array(some)), pa.array([""] * m), pa.array(np.zeros(m, np.int32)),
-                             pa.array(np.zeros(m, np.int64)), pa.array(total[some].astype(np.int64))], ["lang", "phrase", "k", "h", "n"])
-                    for a in range(0, len(place), 1 << 17):
-                        p = place[a:a + (1 << 17)]
-                        yield pa.RecordBatch.from_arrays(
-                            [names.take(pa.array(of_word[p])), _texts(w, p, k), pa.array(np.full(len(p), k, np.int32)),
-                             pa.array(h[a:a + len(p)].view(np.int64)), pa.array(n[a:a + len(p)].astype(np.int64))],
-                            ["lang", "phrase", "k", "h", "n"])
+        held, many = {}, 0
+        for _, salt, data, off, lang in _language_slices(batches):
+            known = []
+            for _, k, _, gram, parts, _, h in grams(data, off, lang, salt, max_words):
+                if k == 1:
+                    count = np.bincount(gram) if passes is None or len(passes) == 1 else None
+                elif passes is None:
+                    count = np.bincount(gram)
+                else:
+                    count = np.bincount(gram[_fresh(known, parts)], minlength=len(h))
+                if passes is not None and k < max_words:
+                    f = folded(*split_hash(h, buckets))
+                    known = [_has(p[k], f) for p in passes]
+                if count is not None:
+                    some = np.flatnonzero(count)
+                    held.setdefault(k, []).append((h[some], count[some]))
+                    many += len(some)
+            if many >= _FLUSH:
+                yield from _flushed(held, buckets)
+                held, many = {}, 0
+        yield from _flushed(held, buckets)
+    return run
+
+
+def _flushed(held: dict, buckets: int):
+    for k, parts in held.items():
+        yield from _packed(k, *(np.concatenate(x) for x in zip(*parts)), buckets)
+
+
+def _sums(least: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = _unpacked(pdf["payload"])
+        order = np.argsort(keys)
+        keys = keys[order]
+        cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        total = np.add.reduceat(counts[order], cut) if len(cut) else np.zeros(0, np.int64)
+        keep = total >= least
+        key, bucket = keys[cut][keep], np.full(int(keep.sum()), pdf["bucket"].iloc[0], np.int64)
+        return pd.DataFrame({"k": np.full(len(key), pdf["k"].iloc[0], np.int32), "h": folded(bucket, key).view(np.int64)})
     return run
 
 
-def _counted(texts: DataFrame, max_words: int, least: int, shared, name: str) -> DataFrame:
-    """Phrases counted in one pass, from ``least`` on; ``k = 0`` rows hold a language's number of words."""
-    rows = texts.mapInArrow(_scan(max_words, shared), COUNTED)
-    return stored(rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"), F.min("h").alias("h"))
-                      .where((F.col("n") >= least) | (F.col("k") == 0)), name)
+def _frequent_hashes(texts: DataFrame, max_words: int, least: int, shared, buckets: int, name: str) -> DataFrame:
+    """(``k``, ``h``): folded hashes whose phrases this pass counts and that reach ``least`` together."""
+    rows = texts.mapInArrow(_scan(max_words, shared, buckets), HASHED)
+    return stored(rows.groupBy("k", "bucket").applyInPandas(_sums(least), "k int, h long"), name)
+
+
+# ---------------------------------------------------------------- counting by text
+
+def _exact(max_words: int, shared, buckets: int):
+    """Counts by text the phrases whose hashes are in the bits of ``shared`` and, if it has passes, those of the
+    last of them; ``k = 0`` rows hold a language's words."""
+    def run(batches):
+        bits, passes = shared.value
+        for names, salt, data, off, lang in _language_slices(batches):
+            known = []
+            for w, k, _, gram, parts, place, h in grams(data, off, lang, salt, max_words):
+                of_word = lang[w.rows()]
+                if k == 1:
+                    total = np.bincount(of_word, minlength=len(names))
+                    some = np.flatnonzero(total)
+                    yield _count_batch(names.take(pa.array(some)), pa.array([""] * len(some)), 0, total[some])
+                f = folded(*split_hash(h, buckets))
+                hit = _has(bits[k], f)
+                if passes and k > 1:
+                    hit[gram[_fresh(known, parts)]] = True
+                if passes and k < max_words:
+                    known = [_has(p[k], f) for p in passes]
+                hit = np.flatnonzero(hit)
+                count = np.bincount(gram, minlength=len(h))[hit]
+                for a in range(0, len(hit), 1 << 16):
+                    p = place[hit[a:a + (1 << 16)]]
+                    yield _count_batch(names.take(pa.array(of_word[p])), _texts(w, p, k), k, count[a:a + (1 << 16)])
+    return run
+
+
+def _count_batch(lang, phrase, k: int, n: np.ndarray):
+    return pa.RecordBatch.from_arrays([lang, phrase, pa.array(np.full(len(n), k, np.int32)), pa.array(n.astype(np.int64))],
+                                      ["lang", "phrase", "k", "n"])
 
 
 # ---------------------------------------------------------------- proposals
 
-def _bits(phrases: DataFrame, members: int) -> np.ndarray:
-    """Bit array of the phrases' hashes, about 16 bits a member, at most ``2 ** FILTER_BITS`` bits."""
-    size = 1 << min(max(members * 16, 64).bit_length(), FILTER_BITS)
+def _words_of_bits(hashes: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, 64 bits) of a bit array of ``size`` bits; at most ``size / 64`` rows come to the driver."""
     slot = F.col("h").bitwiseAND(F.lit(size - 1))
-    got = (phrases.groupBy(F.shiftright(slot, 6).cast("int").alias("at"))
-                  .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63L as int))")).alias("bits")).toArrow())
+    got = (hashes.groupBy(F.shiftright(slot, 6).cast("int").alias("at"))
+                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63L as int))")).alias("bits")).toArrow())
+    return got["at"].to_numpy(), got["bits"].to_numpy().view(U64)
+
+
+def _bits(hashes: DataFrame, members: int) -> np.ndarray:
+    """Bit array of the hashes, about 16 bits a member, at most ``2 ** FILTER_BITS`` bits."""
+    size = 1 << min(max(members * 16, 64).bit_length(), FILTER_BITS)
     out = np.zeros(size // 64, U64)
-    out[got["at"].to_numpy()] = got["bits"].to_numpy().view(U64)
+    at, bits = _words_of_bits(hashes, size)
+    out[at] = bits
     return out
 
 
 def _proposals(known: DataFrame, max_words: int) -> dict[int, np.ndarray]:
     many = dict(known.groupBy("k").count().collect())
-    return {k: _bits(known.where(F.col("k") == k), many.get(k, 0)) for k in range(1, max_words)}
+    return {k: _bits(known.where(F.col("k") == k), many.get(k, 0)) for k in range(1, max_words + 1)}
 
 
-def _missed(old: list[dict[int, np.ndarray]], known: DataFrame, k: int) -> bool:
-    """Whether some known phrase of ``k`` words was not among the proposals of every pass that counted on it."""
-    bits = old[-1][k]
-    slot = F.col("h").bitwiseAND(F.lit(64 * len(bits) - 1))
-    got = known.where(F.col("k") == k).groupBy(F.shiftright(slot, 6).cast("int").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(h & 63L as int))")).alias("bits")).toArrow()
-    return bool((got["bits"].to_numpy().view(U64) & ~bits[got["at"].to_numpy()]).any())
+def _missed(proposed: np.ndarray, known: DataFrame) -> bool:
+    """Whether a known hash was not proposed."""
+    at, bits = _words_of_bits(known, 64 * len(proposed))
+    return bool((bits & ~proposed[at]).any())
 
 
 # ---------------------------------------------------------------- mining
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS,
                      min_count: int = MIN_COUNT, share: float = SHARE, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(``lang``, ``phrase``, ``k``, ``n``): every phrase of up to ``max_words`` words that occurs ``min_count``
-    times, exactly counted; rows with ``k = 0`` hold the words of a language.  Stored tables."""
+    """(``lang``, ``phrase``, ``k``, ``n``), stored: every phrase of up to ``max_words`` words that occurs
+    ``min_count`` times, exactly counted; rows with ``k = 0`` hold the number of words of a language."""
     spark = docs.sparkSession
     texts = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    fraction = min(1.0, share, sample_rows / max(1, texts.count()))
-    proposed = _counted(texts.sample(False, fraction, 67), max_words - 1, max(2, int(0.8 * min_count * fraction)), None,
-                        "phrases-sample").where("k > 0")
-    passes = [_proposals(proposed, max_words)]
-    found = [_pass(spark, texts, passes, max_words, min_count)]
-    while len(found) < max_words:
-        known = reduce(DataFrame.unionByName, found)
-        if not any(_missed(passes, known, k) for k in range(1, max_words)):
-            break
-        passes.append(_proposals(known.where("k > 0"), max_words))
-        found.append(_pass(spark, texts, passes, max_words, min_count))
-    return reduce(DataFrame.unionByName, found)
-
-
-def _pass(spark: SparkSession, texts: DataFrame, passes: list, max_words: int, min_count: int) -> DataFrame:
-    shared = spark.sparkContext.broadcast(passes)
-    return _counted(texts, max_words, min_count, shared, f"phrases-{len(passes)}")
+    total, size = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    buckets = max(shuffle_partitions(spark), -(-size // BUCKET_BYTES))
+    fraction = min(1.0, share, sample_rows / max(1, total))
+    found = _frequent_hashes(texts.sample(False, fraction, 67), max_words - 1, max(2, int(0.8 * min_count * fraction)), None,
+                             buckets, "phrases-sample")
+    passes, known, last = [_proposals(found, max_words)], [], None
+    while last is None:
+        shared = spark.sparkContext.broadcast(passes)
+        known.append(_frequent_hashes(texts, max_words, min_count, shared, buckets, f"phrases-{len(passes)}"))
+        every = reduce(DataFrame.unionByName, known)
+        proposals = _proposals(every, max_words)
+        if not any(_missed(passes[-1][k], every.where(F.col("k") == k)) for k in range(1, max_words)):
+            last = (proposals, None)
+        elif len(passes) + 1 == max_words:
+            # Only the longest phrases can still be new; the scan by text counts them with the rest.
+            last = (proposals, [*passes, proposals])
+        else:
+            passes.append(proposals)
+    shared = spark.sparkContext.broadcast(last)
+    rows = texts.mapInArrow(_exact(max_words, shared, buckets), COUNTED)
+    return stored(rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+                      .where((F.col("n") >= min_count) | (F.col("k") == 0)), "phrases")
 
 
 # ---------------------------------------------------------------- scores and report

@@ -98,12 +98,33 @@ def test_equal_hashes_do_not_merge_words(monkeypatch):
     monkeypatch.setattr(co, "mix", lambda x: x & np.uint64(3))
     text = np.frombuffer(b"aa b cc aa b d aa", np.uint8)
     got = {}
-    for k, place, _, n, w in co.count_slice(text, np.array([0, len(text)]), np.zeros(1, np.int64), np.zeros(1, np.uint64), 2, None):
-        for p, c in zip(co._texts(w, place, k).to_pylist(), n.tolist()):
+    for w, k, _, gram, _, place, _ in co.grams(text, np.array([0, len(text)]), np.zeros(1, np.int64), np.zeros(1, np.uint64), 2):
+        for p, c in zip(co._texts(w, place, k).to_pylist(), np.bincount(gram).tolist()):
             got[p] = c
     assert got == {"aa": 3, "b": 2, "cc": 1, "d": 1, "aa b": 2, "b cc": 1, "cc aa": 1, "b d": 1, "d aa": 1}
 
 
+def test_packed_counts_come_back():
+    rng = np.random.default_rng(4)
+    h, n = rng.integers(0, 1 << 63, 5000, dtype=np.uint64), rng.integers(1, 4, 5000)
+    bucket, key = co.split_hash(h, 7)
+    got = {}
+    for batch in co._packed(2, h, n, 7):
+        for b, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for x, c in zip(*(v.tolist() for v in co._unpacked([p]))):
+                got[b, x] = c
+    assert got == {(b, x): c for b, x, c in zip(bucket.tolist(), key.tolist(), n.tolist())}
+
+
+def test_colliding_hashes_only_cost_work(spark, monkeypatch):
+    """All phrases on 64 bits of the proposals: every one survives, and the counts by text stand."""
+    ship_package(spark)
+    rows = data()
+    monkeypatch.setattr(co, "FILTER_BITS", 6)
+    df = spark.createDataFrame([(t, lang) for lang, t in rows], "text string, lang string")
+    assert report(df) == slow_report(rows)
+
+
 def test_empty_table(spark):
     ship_package(spark)
     assert report(spark.createDataFrame([], "text string, lang string")) == []
