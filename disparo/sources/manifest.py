@@ -24,7 +24,7 @@ import logging
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -55,6 +55,7 @@ class Manifest:
     n_rows: int
     schema: str
     partition_by: tuple = ()
+    extra: dict = field(default_factory=dict)     # the publisher's own notes (JSON values)
     format: int = FORMAT
 
     def data(self, path: str) -> str:
@@ -91,7 +92,7 @@ def _listing(spark: SparkSession, root: str, build: str) -> DataFrame:
 
 
 def manifests(spark: SparkSession, path: str) -> list[Manifest]:
-    """Valid manifests, oldest first; empty when there is none."""
+    """Valid manifests, oldest first; empty when there is none.  ``path`` may be a pattern of tables."""
     try:
         lines = spark.read.text(f"{path}/manifests/*", wholetext=True).collect()
     except AnalysisException as e:
@@ -111,18 +112,19 @@ def open_table(spark: SparkSession, path: str, manifest: Manifest) -> DataFrame:
     return spark.read.schema(manifest.struct()).option("basePath", manifest.data(path)).parquet(manifest.data(path))
 
 
-def publish(df: DataFrame, path: str, write: Callable[[DataFrame, str], None], partition_by: tuple = ()) -> Manifest:
+def publish(df: DataFrame, path: str, write: Callable[[DataFrame, str], None], partition_by: tuple = (),
+            extra: dict | None = None) -> Manifest:
     """Write ``df`` with ``write(df, folder)`` into a new build and publish it as the next version."""
     spark = df.sparkSession
     before = current(spark, path)
     build = uuid.uuid4().hex
     fields = [f for f in df.schema.fields if f.name not in partition_by] + [df.schema[c] for c in partition_by]
-    draft = Manifest((before.version if before else 0) + 1, build, 0, 0, 0, T.StructType(fields).json(), tuple(partition_by))
+    draft = Manifest((before.version if before else 0) + 1, build, 0, 0, 0, T.StructType(fields).json(), tuple(partition_by), extra or {})
     write(df, draft.data(path))
     _listing(spark, draft.data(path), build).write.parquet(draft.files(path))
     total = spark.read.schema(_FILES).parquet(draft.files(path)).agg(F.count("file"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     rows = open_table(spark, path, draft).count()
-    done = Manifest(draft.version, build, total[0], total[1], rows, draft.schema, draft.partition_by)
+    done = Manifest(draft.version, build, total[0], total[1], rows, draft.schema, draft.partition_by, draft.extra)
     _write_manifest(spark, path, done)
     return done
 
@@ -165,6 +167,12 @@ def read_published(spark: SparkSession, path: str) -> DataFrame | None:
     return open_table(spark, path, m)
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of any file system that Spark reads; False when there was none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def vacuum(spark: SparkSession, path: str, keep: int = 1, orphan_hours: float = 24.0) -> list[str]:
     """Delete builds of superseded versions (all but the last ``keep``) and folders without a manifest
     that are older than ``orphan_hours`` (a running build has no manifest yet).  Returns the builds."""
