@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from disparo.config import EventConfig
 from disparo.functions.exprs import floor_year
+from disparo.operators.asof import nearest_per_key
 from disparo.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
 
 
@@ -42,23 +43,27 @@ def attach_reference(df: DataFrame, ref: DataFrame, cfg: EventConfig = EventConf
 
     Parity: years before the floor use the floor year; later years without reference rows
     get NULL measures (no ceiling and no nearest-year search, as in the reference).
-    Strict: every year uses the nearest year that has reference rows.  The
-    reference must hold one row per key; this is checked so the join never multiplies
+    Strict: every year uses the nearest year for which the place itself has a reference row (the
+    earlier one on a tie), see ``operators.asof``; a place without any gets NULL.  On a stream, whose
+    keys cannot be listed, strict takes the nearest year that any place has.  The reference must hold one row per key; this is checked so the join never multiplies
     fact rows.  Reference columns other than the keys (e.g. ``state``) are kept.
     """
     if cfg.county_key not in df.columns or "year" not in df.columns:
         return df
+    place = cfg.county_key
+    if cfg.strict and not df.isStreaming:
+        known = ref.select(place, F.col(ref_year_col).alias("year"))
+        near = nearest_per_key(df, known, place, "year", ref_year_col)
+        return lookup_join(df, near.join(ref, [place, ref_year_col]), [place, "year"], "left", max_broadcast_rows)
+    years = []
     if cfg.strict:
-        # Strict: the nearest year that has reference rows (the distinct reference years
-        # are a handful of values, read once).
+        # The distinct reference years are a handful of values, read once.
         years = [r[0] for r in ref.select(ref_year_col).distinct().collect() if r[0] is not None]
-        if years:
-            df = df.withColumn(ref_year_col, nearest_year("year", years))
-        else:
-            df = add_reference_year(df, "year", ref_year_col, cfg.floor_year)
+    if years:
+        df = df.withColumn(ref_year_col, nearest_year("year", years))
     else:
         df = add_reference_year(df, "year", ref_year_col, cfg.floor_year)
-    return lookup_join(df, ref, [cfg.county_key, ref_year_col], "left", max_broadcast_rows)
+    return lookup_join(df, ref, [place, ref_year_col], "left", max_broadcast_rows)
 
 
 def merge_datasets(parts: Sequence[DataFrame], keys: Sequence[str], order_col: str = "dataset_order",
