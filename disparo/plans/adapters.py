@@ -112,8 +112,9 @@ def typed_facts(spark: SparkSession, sf_dir: str, with_part: bool = False,
     return j.select(*cols)
 
 
-def reference_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adapter R: one row per (place, year >= 1997) for places with nationkey % 7 <> 3.
+def reference_dimension(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
+    """Adapter R: one row per (place, year >= 1997) for places with nationkey % 7 <> 3, so that the
+    floor year and places without a reference have something to show; with ``every`` all places and years.
 
     median_income is the discrete median of order totals (exact, distributed); the three
     rates are 100 x the share of orders with status F, status P and priority 1-URGENT.
@@ -122,9 +123,10 @@ def reference_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    j = (o.where(F.year("o_orderdate") >= REF_FLOOR_YEAR)
-          .join(c, F.col("o_custkey") == F.col("c_custkey"))
-          .join(n.where(F.col("n_nationkey") % 7 != 3), F.col("c_nationkey") == F.col("n_nationkey"))
+    if not every:
+        o, n = o.where(F.year("o_orderdate") >= REF_FLOOR_YEAR), n.where(F.col("n_nationkey") % 7 != 3)
+    j = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+          .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .select(F.lower("n_name").alias("county_name_norm"),
                   F.year("o_orderdate").alias("acs_year"),
                   F.lpad(F.col("n_regionkey").cast("string"), 2, "0").alias("state"),

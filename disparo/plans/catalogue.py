@@ -15,20 +15,21 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disparo.config import EventConfig
+from disparo.config import STRICT, EventConfig
 from disparo.operators.buckets import add_demographic_buckets, add_group_share
 from disparo.operators.buckets import summary_breaks
+from disparo.operators.colocated import colocated_join, write_colocated
 from disparo.operators.clean import clean_column_names, clip_age, normalize_booleans, standardize_strings
 from disparo.operators.dictionary import category_dictionary, index_categories
-from disparo.operators.encode import (apply_class_weights, class_counts, distinct_values,
-                                      fit_class_weights, frequency_encode, hash_split)
+from disparo.operators.encode import (apply_class_weights, bernoulli_sample, class_counts, distinct_values,
+                                      fit_class_weights, frequency_encode, hash_split, key_frequency, random_split)
 from disparo.operators.fairness import (COUNT_COLS, bucket_metrics, fairness_by,
                                         fairness_grouping_sets, rates_by_bucket)
 from disparo.operators.flags import add_labels_flags
 from disparo.operators.impute import median_impute
 from disparo.operators.lookup import store_table
-from disparo.operators.model import fit_variant, score
-from disparo.operators.ranking import ranking_metrics
+from disparo.operators.model import fit_variant, model_columns, score
+from disparo.operators.ranking import binned_ranking_metrics, ranking_metrics
 from disparo.operators.refdata import attach_reference
 from disparo.operators.sketches import merge_sketches, rank_errors, sketch_quantiles, value_sketches
 from disparo.operators.stages import ExactMedianImputer, FrequencyEncoder, QuantileBucketizer
@@ -36,9 +37,10 @@ from disparo.operators.timefeat import make_time_features
 from disparo.plans import adapters
 from disparo.plans.jobs import audit, enrich, train_evaluate
 from disparo.session import ensure_checkpoint_dir, scratch_path
-from disparo.streaming import read_enriched, start_enrich_stream
+from disparo.streaming import read_enriched, read_with_frequency, start_enrich_stream, start_frequency_stream
 from disparo.sources.manifest import current, read_published
 from disparo.sources.payload import DATASETS, MEASURE_NAMES, reference_from_payloads
+from disparo.sources.quarantine import load_raw_csv
 from disparo.sources.tables import (load_model, publish_table, read_json_metrics, read_or_build, read_raw_csv, read_table,
                                     save_model, write_json_metrics, write_partitioned, write_raw_csv)
 
@@ -143,7 +145,7 @@ def q_frequency_encode(spark, d):
 
 def _render(spark, d, datasets, skip=None):
     base = scratch_path(spark, "payloads")
-    ref = adapters.reference_dimension(spark, d)
+    ref = adapters.reference_dimension(spark, d, every=True)
     adapters.render_payloads(ref, base, datasets, MEASURE_NAMES, skip=skip)
     return base
 
@@ -171,6 +173,22 @@ def q_floor_year_join(spark, d):
                                    "acs_year", *REF_COLS[2:])
 
 
+def q_nearest_year_join(spark, d):
+    """Strict reference join: each place's own nearest year, over a reference with gaps (only the
+    place-years whose median is not below the mean of all)."""
+    ref = store_table(adapters.reference_dimension(spark, d), "reference")
+    mean = ref.agg(F.avg("median_income")).first()[0]
+    b = attach_reference(adapters.typed_facts(spark, d), ref.where(F.col("median_income") >= mean), CFG_B.with_(mode=STRICT))
+    return b.select("l_orderkey", "l_linenumber", "county_name_norm", "year", "acs_year", "median_income")
+
+
+def q_colocated_frequency(spark, d):
+    """Key frequency joined to facts that are stored by the key: only the lookup moves."""
+    lines = adapters.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    facts = write_colocated(lines, "l_partkey", buckets=16)
+    return colocated_join(facts, key_frequency(lines, "l_partkey", "part_freq"))
+
+
 def q_group_share(spark, d):
     return add_group_share(adapters.typed_facts(spark, d), CFG_B).select(
         "l_orderkey", "l_linenumber", "county_name_norm", "grp", "minority_share_stop", "n_stops_county")
@@ -257,6 +275,17 @@ def q_rank_unique_score(spark, d):
     return ranking_metrics(o, "score", "label").select(_r6("auroc"), _r6("aupr"))
 
 
+def q_rank_binned(spark, d):
+    """Both areas over the curve down-sampled to a stated number of bins."""
+    o = adapters.table(spark, d, "orders").select(
+        F.col("o_totalprice").alias("score"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("label"))
+    out = None
+    for bins in (100, 1000):
+        m = binned_ranking_metrics(o, "score", "label", bins).select(F.lit(bins).alias("bins"), "n_points", _r6("auroc"), _r6("aupr"))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
 def q_category_index(spark, d):
     b = adapters.typed_facts(spark, d, with_part=True, with_place=False)
     return index_categories(b, "p_type", category_dictionary(b, "p_type"), "p_type_idx").select("p_type", "p_type_idx").distinct()
@@ -292,6 +321,22 @@ def q_csv_roundtrip(spark, d):
     return read_raw_csv(spark, path, adapters.RAW_COLUMNS)
 
 
+def q_csv_quarantine(spark, d):
+    """Raw files of which one lacks columns and one has a column too many: good records and
+    malformed ones are kept apart, and the load's own counters agree."""
+    raw = adapters.raw_events(spark, d)
+    land = scratch_path(spark, "raw-mixed")
+    write_raw_csv(raw, f"{land}/file=good")
+    write_raw_csv(raw.select(*raw.columns[:9]), f"{land}/file=short")
+    write_raw_csv(raw.withColumn("surplus", F.lit("x")), f"{land}/file=long")
+    load = load_raw_csv(spark, f"{land}/*", adapters.RAW_COLUMNS)
+    good = load.good.select(F.lit("good").alias("kind"), F.col("event_id").cast("bigint").alias("id"))
+    bad = load.malformed.select(F.lit("malformed").alias("kind"), F.substring_index("record", ",", 1).cast("bigint").alias("id"))
+    counted = F.when(F.col("kind") == "good", F.lit(load.n_good)).otherwise(F.lit(load.n_malformed)).cast("bigint")
+    return (good.unionByName(bad).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+                .withColumn("counted", counted))
+
+
 def _enriched(spark, d):
     return enrich(adapters.raw_events(spark, d), adapters.reference_dimension(spark, d), CFG_A)
 
@@ -399,22 +444,83 @@ def q_stream_enrich(spark, d):
     return _enriched_out(read_enriched(spark, out, CFG_A).withColumn("event_id", F.col("event_id").cast("bigint")))
 
 
+def q_stream_frequency(spark, d):
+    """C1 as a stream that keeps the department counts by epoch: raw files land in two halves, the
+    second found by a restarted stream, and the rows are read with the summed counts."""
+    land, out, counts, ckpt = (scratch_path(spark, n) for n in ("landing", "streamed", "counts", "stream-ckpt"))
+    ref = store_table(adapters.reference_dimension(spark, d), "stream-reference")
+    for i, part in enumerate(adapters.raw_events(spark, d).randomSplit([0.5, 0.5], 1)):
+        write_raw_csv(part, f"{land}/batch={i}")
+        start_frequency_stream(spark, f"{land}/*", adapters.RAW_COLUMNS, out, counts, ckpt, ref, CFG_A,
+                               compact_every=1).awaitTermination()
+    return _enriched_out(read_with_frequency(spark, out, counts, CFG_A).withColumn("event_id", F.col("event_id").cast("bigint")))
+
+
 # ------------------------------------------------------------------ rows-only (random / models)
 
 def _cohort_a(spark, d):
-    return store_table(_enriched(spark, d).where(F.col("time_available") == 1), "cohort")
+    rows = _enriched(spark, d).where(F.col("time_available") == 1)
+    return store_table(rows.select(*model_columns(rows, CFG_A, "event_id", CFG_A.county_key)), "cohort")
 
 
 def q_sample(spark, d):
-    return _enriched_out(_enriched(spark, d)).sample(False, 0.5, 67)
+    return bernoulli_sample(_enriched_out(_enriched(spark, d)), 0.5, 67)
 
 
 def q_random_split(spark, d):
-    tr, te = _enriched(spark, d).randomSplit([0.8, 0.2], 67)
+    tr, te = random_split(_enriched(spark, d))
     return (tr.select("event_id", F.lit("train").alias("split"))
               .unionByName(te.select("event_id", F.lit("test").alias("split"))))
 
 
+def _share_facts(what, rows, parts, share):
+    """How ``parts`` (id sets) relate to ``rows``: rows in none of them or foreign, rows in more than one place,
+    and whether the first part's share is within five standard deviations of ``share``."""
+    tagged = rows.select("event_id", F.lit(0).alias("part"))
+    for i, p in enumerate(parts, 1):
+        tagged = tagged.unionByName(p.select("event_id", F.lit(i).alias("part")))
+    per = tagged.groupBy("event_id").agg(F.count_if(F.col("part") == 0).alias("here"), F.count_if(F.col("part") == 1).alias("first"),
+                                         F.count_if(F.col("part") > 0).alias("taken"))
+    n, k = F.sum("here"), F.sum("first")
+    lost = F.count_if((F.col("here") == 0) | (F.col("taken") == 0)) if len(parts) > 1 else F.count_if(F.col("here") == 0)
+    ok = F.abs(k - n * share) <= 5 * F.sqrt(n * share * (1 - share))
+    return per.agg(n.alias("n_rows"), lost.alias("n_lost"), F.count_if(F.col("taken") > F.col("here")).alias("n_twice"),
+                   ok.alias("share_ok")).select(F.lit(what).alias("what"), "*")
+
+
+def q_split_facts(spark, d):
+    """The random split is disjoint and complete, the sample is a part of the rows, and both have
+    the share that was asked for."""
+    rows = store_table(adapters.raw_events(spark, d).select("event_id"), "event-ids")
+    train, test = random_split(rows)
+    return _share_facts("split", rows, [train, test], 0.8).unionByName(
+        _share_facts("sample", rows, [bernoulli_sample(rows, 0.5, 67)], 0.5))
+
+
+def q_class_weight_rows(spark, d):
+    """Row-level class weights of the train split (P20)."""
+    b = adapters.typed_facts(spark, d, with_place=False).select("l_orderkey", "l_linenumber", "label")
+    train = hash_split(b, "l_orderkey").where(F.col("split") == "train")
+    weighted = apply_class_weights(train, "label", fit_class_weights(train, "label"))
+    return weighted.select("l_orderkey", "l_linenumber", "label", F.round("class_w", 9).alias("class_w"))
+
+
+def q_model_facts(spark, d):
+    """What SQL can state of a fitted model's scores and of their audit, by bucket and group."""
+    model, cohort, _ = _fit_one(spark, d, "lr")
+    b = add_demographic_buckets(cohort, CFG_A, relative_error=None).df
+    scored = store_table(score(model, b).select("citation_issued", "subject_race", "income_quartile", "minority_share_bucket",
+                                                "prediction", "p_hat"), "scored")
+    wrong = F.col("prediction") != (F.col("p_hat") > 0.5).cast("double")
+    counts = scored.agg(F.count(F.lit(1)).alias("a"), F.count_if(wrong).alias("b"), F.count_if(~F.col("p_hat").between(0, 1)).alias("c"))
+    pair = lambda n, c: F.struct(F.lit(n).alias("fact"), F.col(c).cast("double").alias("value"))
+    facts = counts.select(F.explode(F.array(pair("scored", "a"), pair("prediction is not p_hat > 0.5", "b"), pair("p_hat outside 0 to 1", "c"))).alias("x"))
+    facts = facts.select("x.fact", F.lit("").alias("bucket"), F.lit("").alias("grp"), "x.value")
+    rep = audit(scored, "citation_issued", "p_hat", "prediction", "subject_race").where(
+        (F.col("report").startswith("rates") & (F.col("metric") == "n_stops")) | (F.col("report").startswith("fair") & F.col("metric").isin("P", "N")))
+    return facts.unionByName(rep.select(F.concat_ws(" ", "report", "metric").alias("fact"), "bucket", "grp", "value"))
+
+
 def _fit_one(spark, d, kind):
     """LR or GBT with time features on the citation label, trained on the hash-split train
     part of the enriched cohort."""
@@ -493,6 +599,10 @@ QUERIES: dict[str, Query] = {
     "auroc_score": q_auroc_score,
     "rank_unique_score": q_rank_unique_score,
     "aupr_score": q_aupr_score,
+    "rank_binned": q_rank_binned,
+    "nearest_year_join": q_nearest_year_join,
+    "colocated_frequency": q_colocated_frequency,
+    "csv_quarantine": q_csv_quarantine,
     "category_index": q_category_index,
     "one_hot": q_one_hot,
     "impute_median": q_impute_median,
@@ -507,8 +617,12 @@ QUERIES: dict[str, Query] = {
     "approx_buckets": q_approx_buckets,
     "metrics_json": q_metrics_json,
     "stream_enrich": q_stream_enrich,
+    "stream_frequency": q_stream_frequency,
     "sample": q_sample,
     "random_split": q_random_split,
+    "split_facts": q_split_facts,
+    "class_weight_rows": q_class_weight_rows,
+    "model_facts": q_model_facts,
     "train_lr": q_train_lr,
     "train_gbt": q_train_gbt,
     "model_score": q_model_score,

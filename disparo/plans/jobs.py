@@ -22,7 +22,7 @@ from disparo.operators.encode import (apply_class_weights, bernoulli_sample, fit
 from disparo.operators.fairness import bucket_metrics, fairness_grouping_sets
 from disparo.operators.flags import add_labels_flags
 from disparo.operators.lookup import materialize
-from disparo.operators.model import fit_variant, score
+from disparo.operators.model import fit_variant, model_columns, score
 from disparo.operators.ranking import ranking_metrics
 from disparo.operators.refdata import attach_reference
 from disparo.operators.timefeat import make_time_features
@@ -102,7 +102,9 @@ def split(base: DataFrame, cfg: EventConfig, key: str | None = None):
 
 
 def evaluate(model, test: DataFrame, label: str, name: str, cfg: EventConfig, exact: bool):
-    pred = score(model, test).persist(StorageLevel.MEMORY_AND_DISK)
+    dims = [c for c in (cfg.group_column, cfg.sex_column) if c in test.columns]
+    pred = (score(model, test).select(label, "p_hat", "prediction", "rawPrediction", *dims)
+            .persist(StorageLevel.MEMORY_AND_DISK))
     if exact:
         m = ranking_metrics(pred, "p_hat", label).select("auroc", "aupr")
     else:
@@ -111,7 +113,6 @@ def evaluate(model, test: DataFrame, label: str, name: str, cfg: EventConfig, ex
         pr = ev.setMetricName("areaUnderPR").evaluate(pred)
         m = test.sparkSession.createDataFrame([(roc, pr)], "auroc double, aupr double")
     metrics = m.select(F.lit(label).alias("label"), F.lit(name).alias("model"), "auroc", "aupr")
-    dims = [c for c in (cfg.group_column, cfg.sex_column) if c in pred.columns]
     fair = fairness_grouping_sets(pred, label, "prediction", dims).select(
         F.lit(label).alias("label"), F.lit(name).alias("model"), "*")
     return pred, metrics, fair
@@ -127,6 +128,8 @@ def train_evaluate(df: DataFrame, label: str, cfg: EventConfig = EventConfig(),
     driver threads; 1 fits them one after another."""
     base = df.where(F.col(label).isNotNull())
     train, test = split(base, cfg, split_key)
+    kept = model_columns(base, cfg, label)
+    train, test = train.select(*kept), test.select(*kept)
     w = fit_class_weights(train, label)
     train = apply_class_weights(train, label, w).persist(StorageLevel.MEMORY_AND_DISK)
     test = apply_class_weights(test, label, w).persist(StorageLevel.MEMORY_AND_DISK)

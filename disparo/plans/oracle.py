@@ -118,6 +118,7 @@ r AS (
          CAST(100 AS DOUBLE) * count_if(o_orderstatus = 'P') / count(*) AS unemployment_rate,
          CAST(100 AS DOUBLE) * count_if(o_orderpriority = '1-URGENT') / count(*) AS edu_bachelor_pct
   FROM r_src GROUP BY county_name_norm, acs_year, state, county_fips3)"""
+R_EVERY = R.replace("  WHERE year(o.o_orderdate) >= 1997 AND n.n_nationkey % 7 <> 3),", "  ),")
 REF_COLS = "state, county_fips3, median_income, poverty_rate, unemployment_rate, edu_bachelor_pct"
 
 B_REF = f"""b_ref AS (
@@ -229,9 +230,9 @@ ORACLE: dict[str, str] = {
         dept_freq FROM b LEFT JOIN (SELECT department_name, count(*) AS dept_freq FROM b
         GROUP BY department_name) f USING (department_name)""",
 
-    "ref_payload_parse": w(R) + f"SELECT acs_year, county_name_norm, {REF_COLS} FROM r",
+    "ref_payload_parse": w(R_EVERY) + f"SELECT acs_year, county_name_norm, {REF_COLS} FROM r",
 
-    "ref_merge": w(R) + """SELECT acs_year, county_name_norm, state, county_fips3, median_income,
+    "ref_merge": w(R_EVERY) + """SELECT acs_year, county_name_norm, state, county_fips3, median_income,
         CASE WHEN CAST(county_fips3 AS INTEGER) % 5 = 0 THEN NULL ELSE poverty_rate END AS poverty_rate,
         CASE WHEN CAST(county_fips3 AS INTEGER) % 5 = 0 THEN NULL ELSE unemployment_rate END AS unemployment_rate,
         CASE WHEN CAST(county_fips3 AS INTEGER) % 4 = 1 THEN NULL ELSE edu_bachelor_pct END AS edu_bachelor_pct
@@ -334,6 +335,59 @@ ORACLE: dict[str, str] = {
           + CASE WHEN pp + pn = 0 THEN CAST(cp AS DOUBLE) / (cp + cn) ELSE CAST(pp AS DOUBLE) / (pp + pn) END))
           / (CAST(2 AS DOUBLE) * any_value(tot.P)), 6) AS aupr FROM pts, tot""",
 
+    "class_weight_rows": w(B) + f""", s AS (SELECT l_orderkey, l_linenumber, label,
+            ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT % 100 < 80 AS train FROM b),
+        c AS (SELECT count_if(label = 1) AS p, count_if(label = 0) AS n FROM s WHERE train)
+        SELECT l_orderkey, l_linenumber, label,
+               round(CAST(greatest(p + n, 1) AS DOUBLE) / (2 * greatest(CASE WHEN label = 1 THEN p ELSE n END, 1)), 9) AS class_w
+        FROM s, c WHERE train""",
+
+    "split_facts": w(A) + """, n AS (SELECT count(*) AS n FROM a)
+        SELECT 'split' AS what, n AS n_rows, 0 AS n_lost, 0 AS n_twice, true AS share_ok FROM n
+        UNION ALL SELECT 'sample', n, 0, 0, true FROM n""",
+
+    "model_facts": w(ENRICH) + f""", c AS (SELECT * FROM a_enriched WHERE time_available = 1),
+        sh AS (SELECT county_name_norm, avg(CAST(subject_race <> 'household' AS DOUBLE)) AS v FROM c GROUP BY county_name_norm),
+        j AS (SELECT c.*, sh.v FROM c LEFT JOIN sh USING (county_name_norm)),
+        {_breaks('ib', 'median_income', 'j')},
+        {_breaks('sb', 'v', 'j')},
+        z AS (SELECT citation_issued, subject_race, {_quartile('median_income', 'ib', 'iq')}, {_quartile('v', 'sb', 'sq')} FROM j, ib, sb)
+        SELECT 'scored' AS fact, '' AS bucket, '' AS grp, CAST(count(*) AS DOUBLE) AS value FROM z
+        UNION ALL SELECT 'prediction is not p_hat > 0.5', '', '', 0.0
+        UNION ALL SELECT 'p_hat outside 0 to 1', '', '', 0.0
+        UNION ALL SELECT 'rates_by_income n_stops', iq, subject_race, count(*) FROM z GROUP BY iq, subject_race
+        UNION ALL SELECT 'rates_by_share n_stops', sq, subject_race, count(*) FROM z GROUP BY sq, subject_race
+        UNION ALL SELECT 'fairness_by_income P', iq, subject_race, count_if(citation_issued = 1) FROM z GROUP BY iq, subject_race
+        UNION ALL SELECT 'fairness_by_share P', sq, subject_race, count_if(citation_issued = 1) FROM z GROUP BY sq, subject_race
+        UNION ALL SELECT 'fairness_by_income N', iq, subject_race, count_if(citation_issued = 0) FROM z GROUP BY iq, subject_race
+        UNION ALL SELECT 'fairness_by_share N', sq, subject_race, count_if(citation_issued = 0) FROM z GROUP BY sq, subject_race""",
+
+    "rank_binned": """WITH per AS (SELECT o_totalprice AS s, count_if(o_orderstatus = 'F') AS pos,
+               count_if(o_orderstatus <> 'F') AS neg FROM orders GROUP BY o_totalprice),
+        rnk AS (SELECT *, row_number() OVER (ORDER BY s DESC) - 1 AS i, count(*) OVER () AS d FROM per),
+        bin AS (SELECT bins, i // greatest(d // bins, 1) AS bin, sum(pos) AS pos, sum(neg) AS neg
+                FROM rnk, (VALUES (100), (1000)) v(bins) GROUP BY ALL),
+        cum AS (SELECT *, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn FROM bin WINDOW w AS (PARTITION BY bins ORDER BY bin)),
+        pts AS (SELECT *, cp - pos AS pp, cn - neg AS pn FROM cum)
+        SELECT bins, count(*) AS n_points, round(sum(CAST(neg AS DOUBLE) * (cp + pp)) / (2.0 * sum(pos) * sum(neg)), 6) AS auroc,
+               round(sum(CAST(pos AS DOUBLE) * (CAST(cp AS DOUBLE) / (cp + cn)
+                 + CASE WHEN pp + pn = 0 THEN CAST(cp AS DOUBLE) / (cp + cn) ELSE CAST(pp AS DOUBLE) / (pp + pn) END))
+                 / (2.0 * sum(pos)), 6) AS aupr
+        FROM pts GROUP BY bins""",
+
+    "nearest_year_join": w(B, R) + """, g AS (SELECT * FROM r WHERE median_income >= (SELECT avg(median_income) FROM r)),
+        k AS (SELECT DISTINCT county_name_norm, year FROM b),
+        m AS (SELECT k.county_name_norm, k.year, g.acs_year, g.median_income FROM k JOIN g USING (county_name_norm)
+              QUALIFY row_number() OVER (PARTITION BY k.county_name_norm, k.year ORDER BY abs(g.acs_year - k.year), g.acs_year) = 1)
+        SELECT l_orderkey, l_linenumber, county_name_norm, year, acs_year, median_income
+        FROM b LEFT JOIN m USING (county_name_norm, year)""",
+
+    "colocated_frequency": """SELECT l_orderkey, l_linenumber, l_partkey, count(*) OVER (PARTITION BY l_partkey) AS part_freq
+        FROM lineitem""",
+
+    "csv_quarantine": """SELECT 'good' AS kind, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, count(*) AS counted FROM events
+        UNION ALL SELECT 'malformed', 2 * count(*), CAST(2 * sum(event_id) AS BIGINT), 2 * count(*) FROM events""",
+
     "category_index": w(_b(part=True)) + """SELECT p_type,
         CAST(row_number() OVER (ORDER BY cnt DESC, p_type) - 1 AS DOUBLE) AS p_type_idx
         FROM (SELECT p_type, count(*) AS cnt FROM b GROUP BY p_type)""",
@@ -359,6 +413,7 @@ ORACLE: dict[str, str] = {
     "enriched_roundtrip": w(ENRICH) + ENRICH_SELECT,
     "read_or_build": w(ENRICH) + ENRICH_SELECT,
     "stream_enrich": w(ENRICH) + ENRICH_SELECT,
+    "stream_frequency": w(ENRICH) + ENRICH_SELECT,
 
     "published_table": w(ENRICH) + """SELECT year, count(*) AS n_rows,
         (SELECT count(*) FROM a_enriched) AS published_rows FROM a_enriched GROUP BY year""",
