@@ -25,7 +25,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disparo.llm.common import groups_for, stored, text_or_empty
@@ -76,10 +76,27 @@ def rice_decode(payload: bytes, k: int, n: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- the exchange
 
+def owners_of(values: np.ndarray, owners: int, bits: int) -> np.ndarray:
+    """``values * owners >> bits`` by the owners' first fingerprints (the product itself passes 64 bits)."""
+    if not len(values):
+        return np.zeros(0, np.int64)
+    # Of the owners between the first and the last value only; Python's integers do not overflow.
+    lo, hi = int(values.min()) * owners >> bits, int(values.max()) * owners >> bits
+    first = np.array([-(-(o << bits) // owners) for o in range(lo + 1, hi + 1)], np.int64)
+    return lo + np.searchsorted(first, values, "right")
+
+
+def exchange_groups(spark: SparkSession, rows: int) -> int:
+    """Number of senders and of owners: groups of at most about ``BLOCK_ROWS`` rows, more for a busy cluster, but
+    no more than leaves 16 rows a message."""
+    wanted = groups_for(spark, rows, 2_000, BLOCK_ROWS)
+    return max(1, math.ceil(rows / BLOCK_ROWS), min(wanted, math.isqrt(rows // 16)))
+
+
 def _outgoing(prints: np.ndarray, owners: int, bits: int):
     """For each owner with rows: (owner, sorted distinct fingerprints, locally repeated)."""
     values, counts = np.unique(prints, return_counts=True)
-    owner = values * owners >> bits
+    owner = owners_of(values, owners, bits)
     cut = np.flatnonzero(np.diff(owner, prepend=-1))
     for a, b in zip(cut, np.append(cut[1:], len(values))):
         yield int(owner[a]), values[a:b], counts[a:b] > 1
@@ -125,7 +142,7 @@ def _receive(owners: int, bits: int):
 def suspect_prints(prints: DataFrame, rows: int, bits: int) -> DataFrame:
     """Distinct fingerprints (column ``print``) that more than one row of ``prints``
     (``sender``, ``print``) carries."""
-    owners = groups_for(prints.sparkSession, rows, 2_000, BLOCK_ROWS)
+    owners = exchange_groups(prints.sparkSession, rows)
     src = prints.select("sender", "print")
     messages = src.groupBy("sender").applyInPandas(
         _send(owners, bits), "owner int, sender int, base long, n int, k int, payload binary, twice binary")
@@ -147,7 +164,7 @@ class Duplicates:
                                    *[c.alias(n) for n, c in (extra or {}).items()]), "dedup-prints")
         self.rows = first.count()
         bits = min(61, max(8, math.ceil(math.log2(max(2, self.rows))) + EXTRA_BITS))
-        senders = groups_for(spark, self.rows, 2_000, BLOCK_ROWS)
+        senders = exchange_groups(spark, self.rows)
         self.print_of = lambda hashed: F.shiftrightunsigned(hashed, 64 - bits)
         self.prints = first.withColumns({"print": self.print_of(F.col("h")),
                                          "sender": F.pmod(F.col("part") * F.lit(31) + F.pmod("h", F.lit(31)), F.lit(senders)).cast("int")})

@@ -13,6 +13,9 @@ Branches on ``MIN_PAGES`` pages or more that are below ``LEAST`` with all that l
 removed from every page, and so are texts that most of the pages with their node repeat.  Two
 priors hold beside that: elements that say they are navigation, notice, advert, form, comment and
 the like have no importance, and a page with an article or main element gives only its text.
+A name is no verdict on what holds the page: an element outside of articles that is noise by its
+class, id or role, or is a form, stays when most of the articles' text lies in it, and so does a form
+with most of the text of a page without articles.
 Inside such an element low branches and repeated texts go too, but a text only if ``MIN_PAGES``
 pages have it.
 
@@ -46,7 +49,7 @@ GAMMA = 0.9
 
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math".split())
+RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg annotation annotation-xml".split())
 BLOCKS = frozenset(("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
                     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup html li main menu nav ol p pre search section summary "
                     "table tbody td tfoot th thead tr ul").split())
@@ -62,7 +65,10 @@ SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"
                "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPES = frozenset("table ul ol dl select".split())
 HEAD_CONTENT = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
-NESTED = frozenset("svg math template".split())
+NESTED = frozenset("svg template".split())
+# Words that make a class or id say something of the page ("no-sidebar", "ad-free"), not what the element is.
+BEFORE = frozenset("no non not has have with without hide".split())
+BEHIND = frozenset("free less enabled disabled".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -79,10 +85,19 @@ def host_of(url: str | None) -> str:
 
 
 class _Element:
-    __slots__ = ("tag", "node", "noise", "landmark", "block", "shut")
+    __slots__ = ("tag", "node", "noise", "named", "landmark", "block", "shut")
 
-    def __init__(self, tag, node, noise, landmark, block, shut):
-        self.tag, self.node, self.noise, self.landmark, self.block, self.shut = tag, node, noise, landmark, block, shut
+    def __init__(self, tag, node, noise, named, landmark, block, shut):
+        self.tag, self.node, self.noise, self.named, self.landmark, self.block, self.shut = tag, node, noise, named, landmark, block, shut
+
+
+def noise_name(attribute: str) -> bool:
+    """Whether a class or id says that the element is noise."""
+    for name in attribute.split():
+        words = [w for w in _SPLIT.split(name) if w]
+        if words and words[0] not in BEFORE and words[-1] not in BEHIND and not NOISE_WORDS.isdisjoint(words):
+            return True
+    return False
 
 
 def _hash(text: str) -> int:
@@ -110,16 +125,17 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
     index of its text node), text with character references decoded and white space made one,
     whether it lies in noise or in a landmark."""
     page = page or ""
-    root = _Element("#root", -1, False, False, 0, 0)
+    root = _Element("#root", -1, False, (), False, 0, 0)
     stack, blocks, nodes, parts = [root], [], [], []
     open_tags: dict[str, int] = {}
 
     def flush():
-        text = " ".join(html.unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         parts.clear()
         if text:
             top = stack[-1]
-            blocks.append({"node": len(nodes), "text": text, "content": _hash(text), "noise": top.noise, "landmark": top.landmark})
+            blocks.append({"node": len(nodes), "text": text, "content": _hash(text), "noise": top.noise, "landmark": top.landmark,
+                           "named": top.named})
             nodes.append({"parent": stack[top.block].node, "label": None, "block": False})
 
     def close_to(i):
@@ -140,7 +156,7 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
         if token[0] != "<" or len(token) == 1:
             if not token.isspace():
                 close_head()
-            parts.append(token)
+            parts.append(html.unescape(token))
             continue
         if token[1] in "!?":
             continue
@@ -176,20 +192,38 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
             continue
         top = stack[-1]
         attrs = {a.group(1).lower(): (a.group(2) or a.group(3) or a.group(4) or "").lower() for a in _ATTR.finditer(token)}
-        words = set(_SPLIT.split(" ".join((attrs.get("class", ""), attrs.get("id", "")))))
         landmark = tag in LANDMARKS or attrs.get("role") in ("main", "article")
-        noise = (tag in NOISE_TAGS or attrs.get("role") in NOISE_ROLES or (tag == "header" and not top.landmark)
-                 or (tag not in ("html", "body") and not landmark and bool(words & NOISE_WORDS)))
+        noise = (tag in NOISE_TAGS and tag != "form") or (tag == "header" and not top.landmark)
+        named = not noise and (tag == "form" or attrs.get("role") in NOISE_ROLES or (
+            tag not in ("html", "body") and not landmark and (noise_name(attrs.get("class", "")) or noise_name(attrs.get("id", "")))))
         label = " ".join([tag, *("." + c for c in sorted(attrs.get("class", "").split())), *("#" + i for i in attrs.get("id", "").split())])
         nodes.append({"parent": top.node, "label": label, "block": tag in BLOCKS})
         here = len(stack)
-        stack.append(_Element(tag, len(nodes) - 1, top.noise or noise, top.landmark or (landmark and not noise),
+        above = (*top.named, (len(nodes) - 1, tag, top.landmark)) if named else top.named
+        stack.append(_Element(tag, len(nodes) - 1, top.noise or noise, above, top.landmark or (landmark and not noise and not named),
                               here if tag in BLOCKS else top.block, here if tag in SCOPES else top.shut))
         open_tags[tag] = open_tags.get(tag, 0) + 1
     flush()
+    _weigh_names(blocks)
     return blocks, nodes
 
 
+def _weigh_names(blocks: list[dict]) -> None:
+    """Settle ``noise`` where only a name (or a form) says so, by what the element holds of the page."""
+    inside, held = any(b["landmark"] and not b["noise"] for b in blocks), {}
+    total = 0
+    for b in blocks:
+        if not b["noise"] and b["landmark"] == inside:
+            total += len(b["text"])
+            for e in b["named"]:
+                held[e] = held.get(e, 0) + len(b["text"])
+    for b in blocks:
+        for e in b.pop("named"):
+            _, tag, within = e
+            holds_page = 2 * held.get(e, 0) > total and (not within if inside else tag == "form")
+            b["noise"] = b["noise"] or not holds_page
+
+
 def identifiers(nodes: list[dict]) -> list[str]:
     """The page's ids and its classes with a digit."""
     names = {x for n in nodes if n["label"] for x in n["label"].split(" ")[1:]}

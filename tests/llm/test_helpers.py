@@ -8,7 +8,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from disparo.llm import fm_index, html_extract, sharding
+from disparo.llm import exact_dedup, fm_index, html_extract, sharding
 from disparo.llm.decontaminate import Matcher, item_windows
 from disparo.llm.exact_dedup import rice_decode, rice_encode
 from disparo.llm.langid import viterbi
@@ -181,3 +181,46 @@ def test_html_raw_text_open_head_and_depth():
         assert texts(page) == ["One", "deep", "Two"]
         paths, styles = html_extract.placed(html_extract.parse(page)[1])
         assert len(set(paths)) == len(styles) == n + 2
+
+
+def test_owners_of_wide_fingerprints():
+    """49 bits and 500,000 owners: the product of a fingerprint and the owners passes 64 bits."""
+    rng = np.random.default_rng(12)
+    for bits, owners in ((49, 500_000), (61, 3), (49, 1), (20, 1000)):
+        values = np.unique(np.append(rng.integers(0, 1 << bits, 2000), [0, (1 << bits) - 1]))
+        got = exact_dedup.owners_of(values, owners, bits).tolist()
+        assert got == [v * owners >> bits for v in values.tolist()] and 0 <= min(got) and max(got) < owners
+        sent = list(exact_dedup._outgoing(values, owners, bits))
+        assert len({o for o, _, _ in sent}) == len(sent) and sum(len(v) for _, v, _ in sent) == len(values)
+
+
+def test_exchange_groups_leave_rows_a_message(spark):
+    for rows in (0, 1, 5000, 10 ** 6, 10 ** 11):
+        n = exact_dedup.exchange_groups(spark, rows)
+        assert n >= 1 and n >= rows / exact_dedup.BLOCK_ROWS and (n * n * 16 <= max(rows, 16) or n == -(-rows // exact_dedup.BLOCK_ROWS))
+
+
+def kept_text(page):
+    blocks, _ = html_extract.parse(page)
+    some = any(b["landmark"] and not b["noise"] for b in blocks)
+    return "\n".join(b["text"] for b in blocks if not b["noise"] and (b["landmark"] or not some))
+
+
+def test_html_names_are_priors():
+    body = "<p>First long paragraph of the article.</p><p>Second one.</p>"
+    text = "First long paragraph of the article.\nSecond one."
+    for name in ("content no-sidebar", "has-sidebar", "with-ads", "ad-free", "has-comments", "sidebar-layout"):
+        assert kept_text(f'<div class="{name}"><article>{body}</article></div>') == text
+    assert kept_text(f'<main><div class="ad-free">{body}</div></main>') == text
+    assert kept_text(f'<form action="/x"><main>{body}</main><input value="q"></form>') == text
+    assert kept_text(f"<form><div>{body}</div></form>") == text
+    # What names and tags still take out.
+    noise = '<div class="post-sidebar">S</div><div id="comments"><p>Reader comment, a little longer than all the rest of this page is.</p></div>'
+    assert kept_text(f"<article>{body}{noise}<form><label>Mail</label></form></article>") == text
+    assert kept_text(f'<div class="sidebar"><article>Teaser</article></div><main>{body}</main><footer>F</footer>') == text
+    assert kept_text(f'{body}<form>Search <input></form><div class="share-buttons">Share</div>') == text
+
+
+def test_html_formulas_and_split_references():
+    assert kept_text("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='t'>x=1</annotation></math> be.</p>") == "Let x=1 be."
+    assert kept_text("<p>a &am<b>p;</b> b &amp;lt; c &nbsp; &#233;</p>") == "a &amp; b &lt; c é"
