@@ -4,9 +4,12 @@ Grades are ordered (0 junk, 1 sound but toxic, 2 clean).  One weight vector over
 features gives a score ``s``; ordered thresholds give ``P(grade <= k) = sigmoid(t_k - s)``.  The
 expected grade ranks documents, the tail probability ``P(grade >= 2)`` selects them.
 
-Features of a whole text, all hashed into one space: its words (A-Z lower-cased, ``tf / sqrt(n)``)
-and marks of its shape (each punctuation sign a word, capitals, digits, repeated words, distinct
-words, word length - in logarithmic steps).
+Features of a whole text, all hashed into one space: the words it has (A-Z lower-cased; one
+insult counts the same in a short and in a long text) and marks of its shape (each punctuation
+sign a word, capitals, digits, repeated words, distinct words, word length - in logarithmic steps).
+Of the words only those whose documents' grades stand out from the mean (``SCREEN`` standard
+deviations, on ``MIN_ROWS`` rated documents or more) enter the regression: most words of a corpus say
+nothing of its grades, and thousands of them would drown the few that do.
 
 The fit uses a bounded sample of rated documents: the ``MAX_SAMPLE`` ids of least hash, the same
 rows at every layout.  Their features (at most ``WORD_BUCKETS`` entries a row) meet in one task.
@@ -36,6 +39,8 @@ MARKS = 64
 STEPS = 12
 SIZE = WORD_BUCKETS + MARKS * STEPS
 MAX_SAMPLE = 12_288
+SCREEN = 3.5
+MIN_ROWS = 5
 TAIL = 0.5
 EPOCHS = 24
 BATCH = 256
@@ -141,16 +146,23 @@ def fit_ordinal(index: np.ndarray, value: np.ndarray, first: np.ndarray, grade:
     return OrdinalModel(params[:size].astype(np.float32), params[size] + np.concatenate(([0.0], np.cumsum(gaps))))
 
 
+def telling(index: np.ndarray, row: np.ndarray, grade: np.ndarray, screen: float = SCREEN, least: int = MIN_ROWS) -> np.ndarray:
+    """Which features enter the regression: all marks, and words whose rows' mean grade is ``screen`` standard
+    errors off the mean of all."""
+    rows = np.bincount(index, minlength=SIZE)
+    off = np.abs(np.bincount(index, grade[row], minlength=SIZE) - rows * grade.mean())
+    kept = (rows >= least) & (off > screen * np.sqrt(rows * max(grade.var(), 1e-12)))
+    kept[WORD_BUCKETS:] = True
+    return kept
+
+
 def _rows(batches):
     for part, data, off in chunks(batches):
         w, bucket, marks = features(data, off)
         out = []
         for r in range(part.num_rows):
-            own = bucket[w.first[r]:w.first[r + 1]]
-            i, c = np.unique(own, return_counts=True)
-            x = c / np.sqrt(max(len(own), 1))
-            out.append((np.concatenate((i, marks[r])).astype(np.int32).tobytes(),
-                        np.concatenate((x, np.ones(marks.shape[1]))).astype(np.float32).tobytes()))
+            i = np.concatenate((np.unique(bucket[w.first[r]:w.first[r + 1]]), marks[r]))
+            out.append((i.astype(np.int32).tobytes(), np.ones(len(i), np.float32).tobytes()))
         for a in range(0, len(out), 64):
             yield pa.RecordBatch.from_arrays(
                 [part.column(part.schema.get_field_index("grade")).slice(a, 64), pa.array([o[0] for o in out[a:a + 64]], pa.binary()),
@@ -161,9 +173,12 @@ def _fit_group(grades: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["grade", "i", "x"])  # the same model whatever order rows arrive in
         index = [np.frombuffer(b, np.int32) for b in pdf["i"]]
-        first = np.concatenate(([0], np.cumsum([len(i) for i in index])))
-        model = fit_ordinal(np.concatenate(index), np.concatenate([np.frombuffer(b, np.float32) for b in pdf["x"]]), first,
-                            pdf["grade"].to_numpy(np.int64), grades)
+        grade = pdf["grade"].to_numpy(np.int64)
+        row = np.repeat(np.arange(len(index)), [len(i) for i in index])
+        index, value = np.concatenate(index), np.concatenate([np.frombuffer(b, np.float32) for b in pdf["x"]])
+        kept = telling(index, row, grade)[index]
+        first = np.concatenate(([0], np.cumsum(np.bincount(row[kept], minlength=len(grade)))))
+        model = fit_ordinal(index[kept], value[kept], first, grade, grades)
         return pd.DataFrame({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tolist()]})
     return run
 
@@ -181,7 +196,10 @@ def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: st
     rated = grades.select(F.col(id_col).alias("id"), "grade").join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
     ids = (rated.orderBy(F.xxhash64("id"), "id").limit(max_sample))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").join(
-        F.broadcast(ids), "id").dropDuplicates(["id"])
+        F.broadcast(ids), "id")
+    # Of several texts of an id the one of least hash, so that the model does not hang on the layout.
+    sample = sample.groupBy("id").agg(F.min("grade").alias("grade"), F.min(F.struct(F.xxhash64("text"), "text")).alias("t")).select(
+        "id", "grade", "t.text")
     got = (sample.select("grade", "text").mapInArrow(_rows, "grade int, i binary, x binary")
                  .groupBy().applyInPandas(_fit_group(n_grades), "weights binary, thresholds array<double>"))
     if ids.select("grade").distinct().count() < 2:
@@ -199,7 +217,9 @@ def scores(data: np.ndarray, off: np.ndarray, model: OrdinalModel | None):
     if model is None:
         nothing = np.full(len(n), np.nan)
         return nothing, nothing, n > 0
-    s = np.bincount(w.rows(), model.weights[bucket], minlength=len(n)) / np.sqrt(np.maximum(n, 1)) + model.weights[marks].sum(axis=1)
+    telling = np.flatnonzero(model.weights[bucket])
+    has = np.unique(w.rows()[telling] * np.int64(WORD_BUCKETS) + bucket[telling])  # a word counts once a text
+    s = np.bincount(has // WORD_BUCKETS, model.weights[has % WORD_BUCKETS], minlength=len(n)) + model.weights[marks].sum(axis=1)
     return np.where(n > 0, model.expected(s), 0.0), np.where(n > 0, model.tail(s), 0.0), n > 0
 
 
