@@ -15,6 +15,7 @@ def spark():
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[4]")
          .config("spark.sql.shuffle.partitions", "4")
+         .config("spark.driver.memory", "3g")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
