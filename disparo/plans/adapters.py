@@ -36,12 +36,17 @@ def _mod(c, m):
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter A: one raw text record per event, with planted quirks (NULLs, ``NA``,
     ``nan``, padded and comma-suffixed place names, fractional ages, empty text); dates are
-    moved back by whole years so that they span the reference years."""
+    moved back by whole years so that they span the reference years.
+
+    The records are spread by ``event_id`` while they are narrow: a file of one row group is read
+    by one task, which would also do all the cleaning behind it."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (e.join(c, e.user_id == c.c_custkey, "left")
-          .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+          .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+          .select(*e.columns, "c_mktsegment", "n_name")
+          .repartition("event_id"))
     k = F.get_json_object("props", "$.k").try_cast("int")
     n_name = F.col("n_name")
     # Nine years, 1994 to 2002 for events of 2024: below, inside and above the reference years.

@@ -26,6 +26,7 @@ from disparo.operators.model import fit_variant, model_columns, score
 from disparo.operators.ranking import ranking_metrics
 from disparo.operators.refdata import attach_reference
 from disparo.operators.timefeat import make_time_features
+from disparo.session import keep_methods_compiled
 from disparo.sources.tables import read_or_build, save_model, write_json_metrics
 
 log = logging.getLogger(__name__)
@@ -36,6 +37,7 @@ log = logging.getLogger(__name__)
 def enrich_rows(raw: DataFrame, cfg: EventConfig = EventConfig()) -> DataFrame:
     """The row-local part of enrichment: names, null tokens, yes/no flags, age range,
     time features, flags and place key.  Works on batch and streaming frames alike."""
+    keep_methods_compiled(raw.sparkSession)
     df = clean_column_names(raw)
     df = standardize_strings(df, cfg=cfg)
     df = normalize_booleans(df, cfg=cfg)

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_METHOD_KEY, _METHOD_DEFAULT, _JIT_LIMIT = "spark.sql.codegen.hugeMethodLimit", "65535", "8000"
 
 
 def build_session(master: str | None = None, app: str = "disparo",
@@ -46,6 +47,19 @@ def build_session(master: str | None = None, app: str = "disparo",
     return spark
 
 
+def keep_methods_compiled(spark: SparkSession) -> None:
+    """Let a stage whose fused method is over HotSpot's 8000-byte limit run unfused.
+
+    Such a method is never compiled, so each row of a wide projection is interpreted; unfused, the
+    projection is cut into methods that are.  The setting of Spark for this
+    (``spark.sql.codegen.hugeMethodLimit``) is lowered only where the session has its default and
+    the JVM was not told to compile methods of any size."""
+    if "-XX:-DontCompileHugeMethods" in (spark.conf.get("spark.executor.extraJavaOptions", None) or ""):
+        return
+    if spark.conf.get(_METHOD_KEY, _METHOD_DEFAULT) == _METHOD_DEFAULT:
+        spark.conf.set(_METHOD_KEY, _JIT_LIMIT)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when none is configured.
 
