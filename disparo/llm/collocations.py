@@ -26,7 +26,8 @@ need not be.
 
 Scale: a scan slice holds ``SLICE_BYTES`` of text (a longer text is cut where a piece ends),
 counts are summed inside it, a hot phrase is one entry a slice, and hash buckets hold about
-``BUCKET_BYTES``.  The report's ranking takes the first ``top`` in salted groups before it takes
+``BUCKET_BYTES``. A worker's arrays are many times its slice, so
+the slice and ``_FLUSH`` set its memory.  The report's ranking takes the first ``top`` in salted groups before it takes
 them in a language.
 
 Defined cases: NULL and empty texts have no words; repeated rows count each time; a language
@@ -55,7 +56,7 @@ TOP = 2000
 SHARE = 0.25
 SAMPLE_ROWS = 1_000_000
 FILTER_BITS = 27
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 SALTS = 64
 NO_LANG = "und"
@@ -63,7 +64,7 @@ U64 = np.uint64
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 HASHED = "k int, bucket int, payload binary"
 COUNTED = "lang string, phrase string, k int, n long"
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 
 
 def word_class() -> np.ndarray:

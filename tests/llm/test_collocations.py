@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -93,6 +94,20 @@ def test_long_texts_are_cut_at_separators():
     assert len(parts) > 10 and all(p[-1] in ".\n" for p in parts[:-1])
 
 
+def test_scan_memory_follows_the_slice():
+    """A batch of 10 MB in texts of distinct words: the arrays of a scan are those of a slice and of the counts held."""
+    text = " ".join(f"{i:x}" for i in range(50_000))
+    batch = pa.record_batch([pa.array(["en"] * 40), pa.array([text] * 40)], names=["lang", "text"])
+    run = co._scan(3, None, 16)
+    list(run([batch.slice(0, 1)]))  # tables of powers are kept a process
+    tracemalloc.start()
+    for _ in run([batch]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20, peak >> 20
+
+
 def test_equal_hashes_do_not_merge_words(monkeypatch):
     """With a hash that sends all words to a few values, numbers still follow the bytes."""
     monkeypatch.setattr(co, "mix", lambda x: x & np.uint64(3))
