@@ -46,6 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from disparo.llm.bits import bit_array, bit_words, has
 from disparo.llm.common import shuffle_partitions, stored
 from disparo.llm.textscan import Words, lower_table, mix, ragged, text_buffers
 
@@ -147,11 +148,6 @@ def _texts(w: Words, place: np.ndarray, k: int) -> pa.Array:
     return pa.Array.from_buffers(pa.string(), len(place), [None, pa.py_buffer(off), pa.py_buffer(out)])
 
 
-def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h & U64(64 * len(bits) - 1)
-    return (bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) == 1
-
-
 def split_hash(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, 40 bits inside it) of a phrase hash."""
     return ((h & U64(0xFFFFFF)) * U64(buckets) >> U64(24)).astype(np.int64), h >> U64(24)
@@ -269,7 +265,7 @@ def _scan(max_words: int, shared, buckets: int):
                     count = np.bincount(gram[_fresh(known, parts)], minlength=len(h))
                 if passes is not None and k < max_words:
                     f = folded(*split_hash(h, buckets))
-                    known = [_has(p[k], f) for p in passes]
+                    known = [has(p[k], f) for p in passes]
                 if count is not None:
                     some = np.flatnonzero(count)
                     held.setdefault(k, []).append((h[some], count[some]))
@@ -321,11 +317,11 @@ def _exact(max_words: int, shared, buckets: int):
                     some = np.flatnonzero(total)
                     yield _count_batch(names.take(pa.array(some)), pa.array([""] * len(some)), 0, total[some])
                 f = folded(*split_hash(h, buckets))
-                hit = _has(bits[k], f)
+                hit = has(bits[k], f)
                 if passes and k > 1:
                     hit[gram[_fresh(known, parts)]] = True
                 if passes and k < max_words:
-                    known = [_has(p[k], f) for p in passes]
+                    known = [has(p[k], f) for p in passes]
                 hit = np.flatnonzero(hit)
                 count = np.bincount(gram, minlength=len(h))[hit]
                 for a in range(0, len(hit), 1 << 16):
@@ -341,21 +337,8 @@ def _count_batch(lang, phrase, k: int, n: np.ndarray):
 
 # ---------------------------------------------------------------- proposals
 
-def _words_of_bits(hashes: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place, 64 bits) of a bit array of ``size`` bits; at most ``size / 64`` rows come to the driver."""
-    slot = F.col("h").bitwiseAND(F.lit(size - 1))
-    got = (hashes.groupBy(F.shiftright(slot, 6).cast("int").alias("at"))
-                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63L as int))")).alias("bits")).toArrow())
-    return got["at"].to_numpy(), got["bits"].to_numpy().view(U64)
-
-
 def _bits(hashes: DataFrame, members: int) -> np.ndarray:
-    """Bit array of the hashes, about 16 bits a member, at most ``2 ** FILTER_BITS`` bits."""
-    size = 1 << min(max(members * 16, 64).bit_length(), FILTER_BITS)
-    out = np.zeros(size // 64, U64)
-    at, bits = _words_of_bits(hashes, size)
-    out[at] = bits
-    return out
+    return bit_array(hashes, members, FILTER_BITS)
 
 
 def _proposals(known: DataFrame, max_words: int) -> dict[int, np.ndarray]:
@@ -365,7 +348,7 @@ def _proposals(known: DataFrame, max_words: int) -> dict[int, np.ndarray]:
 
 def _missed(proposed: np.ndarray, known: DataFrame) -> bool:
     """Whether a known hash was not proposed."""
-    at, bits = _words_of_bits(known, 64 * len(proposed))
+    at, bits = bit_words(known, 64 * len(proposed))
     return bool((bits & ~proposed[at]).any())
 
 

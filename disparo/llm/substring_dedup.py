@@ -5,7 +5,11 @@ a smaller id.  Windows are judged on the input.
 
 1. Routing: each window elects an anchor (its least 8-word hash).  Equal windows elect equal
    anchors, so a passage - the run of windows with one anchor, 50 to about 92 words - need only
-   meet passages with the same anchor.  Anchors that only one text has are dropped.
+   meet passages with the same anchor.  Anchors that only one text has are dropped.  The passages
+   are cut in one more scan, from the owner's row of each text with a shared anchor; bit arrays of
+   those rows and anchors (at most ``2 ** FILTER_BITS`` bits, by a broadcast) tell which, so whole
+   texts are not shuffled for it.  What passes by mistake is one passage more in an index; hits
+   count only where the row is the text's owner.
 2. Shards by anchor: each holds an FM-index (wavelet matrix over the Burrows-Wheeler transform)
    of its distinct passages; passages stream through it by backward search, and where the match
    reaches 50 words, the block of the interval tells the least document that has the window.
@@ -32,6 +36,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from disparo.llm.bits import bit_array, has
 from disparo.llm.common import stored, text_or_empty
 from disparo.llm.fm_index import NONE, FMIndex
 from disparo.llm.textscan import Words, chunks, in_row, mixed_sums, non_space_class, window_hash
@@ -41,6 +46,7 @@ ANCHOR_WORDS = 8
 SHARD_WORDS = 400_000
 CROWDED = 4_000
 MAX_BROADCAST_ROWS = 200_000
+FILTER_BITS = 27
 _LAST_ID = (1 << 63) - 1
 
 
@@ -79,28 +85,42 @@ def _anchors(window: int, q: int):
 
 # ---------------------------------------------------------------- passages
 
-_PASSAGES = "node long, anchor long, start int, windows int, content long, words binary"
+_PASSAGES = "node long, id long, anchor long, start int, content long, words binary"
 
 
-def _cut(window: int):
+def _owned(batches, rows: np.ndarray):
+    """The rows of the batches that are in the bit array, repeated ones once a task."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        fresh = np.zeros(batch.num_rows, bool)
+        hit = np.flatnonzero(has(rows, col["h"].to_numpy().view(np.uint64)))
+        for i, pair in zip(hit.tolist(), zip(col["node"].to_numpy()[hit].tolist(), col["id"].to_numpy()[hit].tolist())):
+            if pair not in seen:
+                seen.add(pair)
+                fresh[i] = True
+        yield batch.filter(pa.array(fresh))
+
+
+def _cut(window: int, q: int, shared):
     """Passages of a text as words joined by single spaces."""
     def run(batches):
-        for part, data, off in chunks(batches):
+        rows, anchors = shared.value
+        for part, data, off in chunks(_owned(batches, rows)):
             w = Words(data, off, non_space_class())
-            runs = part.column(part.schema.get_field_index("runs"))
-            flat = runs.flatten()
-            begin, many, anchor = (flat.field(i).to_numpy() for i in range(3))
-            row = np.repeat(np.arange(part.num_rows), np.diff(runs.offsets.to_numpy()))
+            row, anchor, begin, many = anchor_runs(w, window, q)
+            kept = has(anchors, anchor)
+            row, anchor, begin, many = row[kept], anchor[kept], begin[kept], many[kept]
             first = w.first[row] + begin
             last = first + many + window - 1
             content = mixed_sums(w.hash, first, last).view(np.int64)
-            node = part.column(part.schema.get_field_index("node")).to_numpy()[row]
+            node, ident = (part.column(part.schema.get_field_index(n)).to_numpy()[row] for n in ("node", "id"))
             joined = [b" ".join(data[s:e].tobytes().split()) for s, e in zip(w.start[first].tolist(), w.end[last - 1].tolist())]
-            out = (node, anchor, begin, many, content, joined)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            out = (node, ident, anchor.view(np.int64), begin, content, joined)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
             for a in range(0, len(joined), 2000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[a:a + 2000], k) for c, k in zip(out, kinds)],
-                                                 ["node", "anchor", "start", "windows", "content", "words"])
+                                                 ["node", "id", "anchor", "start", "content", "words"])
     return run
 
 
@@ -148,13 +168,14 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                                              "node long, anchor long, start int, windows int"), "substring-anchors")
     shared = anchors.groupBy("anchor").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("anchor")
     shared = stored(shared, "substring-shared")  # dealt anew in the join, so a common anchor can be split
-    suspects = _shared_runs(anchors, shared).groupBy("node").agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("runs"))
-    suspects = stored(suspects.join(owners, "node"), "substring-suspects")
-    small = suspects.count() <= MAX_BROADCAST_ROWS and _run_bytes(suspects) <= 32 << 20
-    listed = F.broadcast(suspects) if small else suspects
-    own = texts.join(listed, "node").where("id = owner").select("node", "text", "runs")
-    passages = stored(own.mapInArrow(_cut(window), _PASSAGES).join(owners, "node").distinct(), "substring-passages")
-    distinct = stored(passages.groupBy("anchor", "content").agg(F.min("owner").alias("least"), F.first("words").alias("words")), "substring-distinct")
+    suspects = _shared_runs(anchors, shared).groupBy("node").agg(F.count(F.lit(1)).alias("runs"))
+    suspects = stored(suspects.join(owners, "node").select("node", "owner"), "substring-suspects")
+    wanted = spark.sparkContext.broadcast((
+        bit_array(suspects.select(F.xxhash64("node", "owner").alias("h")), suspects.count(), FILTER_BITS),
+        bit_array(shared.select(F.col("anchor").alias("h")), shared.count(), FILTER_BITS)))
+    rows = texts.select("node", "id", F.xxhash64("node", "id").alias("h"), "text")
+    passages = stored(rows.mapInArrow(_cut(window, anchor_words, wanted), _PASSAGES), "substring-passages")
+    distinct = stored(passages.groupBy("anchor", "content").agg(F.min("id").alias("least"), F.first("words").alias("words")), "substring-distinct")
     size = distinct.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 6 // shard_words + 1)
     hot = stored(distinct.groupBy("anchor").count().where(F.col("count") > crowded)
@@ -166,8 +187,9 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .withColumn("alone", F.col("parts").isNotNull())
              .select("shard", "part", "alone", "anchor", "content", "least", "words", "indexed"))
     found = stored(dealt.groupBy("shard", "part", "alone").applyInPandas(_search(window), _FOUND), "substring-found")
-    hits = (passages.drop("words").join(found, ["anchor", "content"])
-            .select("node", "owner", "start", F.explode("runs").alias("r")).where("r.least < owner")
+    hits = (passages.drop("words").join(found.where(F.size("runs") > 0), ["anchor", "content"])
+            .select("node", "id", "start", F.explode("runs").alias("r")).where("r.least < id")
+            .join(suspects.withColumnRenamed("owner", "id"), ["node", "id"])
             .select("node", F.struct((F.col("start") + F.col("r.a")).alias("a"),
                                      (F.col("start") + F.col("r.b") + window - 1).alias("b")).alias("hit"))
             .groupBy("node").agg(F.collect_set("hit").alias("hits")))
@@ -180,10 +202,6 @@ def _shared_runs(anchors: DataFrame, shared: DataFrame) -> DataFrame:
     return anchors.join(shared, "anchor").select("node", "start", "windows", "anchor").distinct()
 
 
-def _run_bytes(suspects: DataFrame) -> int:
-    return (suspects.agg(F.sum(F.size("runs"))).first()[0] or 0) * 24
-
-
 # ---------------------------------------------------------------- results
 
 def kept_words(text: bytes, hits, whole: bool, window: int) -> tuple[int, int, bytes]:

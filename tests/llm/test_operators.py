@@ -98,6 +98,22 @@ def test_substring_dedup(docs):
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == sorted(want, key=str)
 
 
+def test_substring_passages_are_cut_without_a_shuffle(docs, monkeypatch):
+    """Past the broadcast bound whole texts were shuffled for the cut.  Full bit arrays only cost work."""
+    plans, stored = {}, substring_dedup.stored
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name)
+
+    want = sorted(map(str, substring_dedup.remove_repeats(docs, crowded=2, shard_words=40).collect()))
+    monkeypatch.setattr(substring_dedup, "stored", spy)
+    monkeypatch.setattr(substring_dedup, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(substring_dedup, "FILTER_BITS", 6)
+    assert sorted(map(str, substring_dedup.remove_repeats(docs, crowded=2, shard_words=40).collect())) == want
+    assert "Exchange" not in plans["substring-passages"]
+
+
 def test_substring_runs_of_copies_are_one_row(spark):
     anchors = spark.range(5000).selectExpr("7L as node", "id % 3 as anchor", "cast(id % 3 as int) as start", "4 as windows")
     shared = spark.createDataFrame([(0,), (2,)], "anchor long")
